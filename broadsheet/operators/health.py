@@ -35,7 +35,8 @@ def source_health_metrics(events: DataFrame, snapshot: DataFrame) -> DataFrame:
     totals = events.groupBy("source_id").agg(
         F.count_if(status == "ok").alias("success_count"), F.count_if(timed_out).alias("timeout_count"),
         F.count_if(status == "empty").alias("empty_count"), F.count_if(failed).alias("failure_count"),
-        F.round(F.avg("duration_ms"), 2).alias("average_duration_ms"), F.count("*").alias("sample_count"),
+        # Summed as decimals: the average does not depend on the order rows arrive in.
+        F.round(F.avg(F.col("duration_ms").cast("decimal(18,6)")), 2).cast("double").alias("average_duration_ms"), F.count("*").alias("sample_count"),
         F.count("duration_ms").alias("duration_sample_count"), F.min_by("checked_at", "id").alias("statistics_since"),
         F.max_by(_optional(events, "network_route"), F.col("id")).alias("last_network_route"),
         F.max_by(_optional(events, "failure_class"), F.col("id")).alias("last_failure_class"),

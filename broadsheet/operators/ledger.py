@@ -117,8 +117,8 @@ def readiness_summary(attempts: DataFrame, request: list[str], kinds=("h5", "jso
     out = attempts.groupBy(*request).agg(F.min("ts").alias("_start"), F.max("ts").alias("_end"), *ready)
     both = reduce(lambda a, b: a & b, [F.col(f"{k}_first_200_at").isNotNull() for k in kinds])
     end = F.when(both, F.greatest(*[F.col(f"{k}_first_200_at") for k in kinds])).otherwise(F.col("_end"))
-    total = (F.unix_micros(end) - F.unix_micros("_start")) / F.lit(1000.0)
-    return out.select(*request, *[f"{k}_first_200_at" for k in kinds], F.round(total, 2).alias("readiness_total_ms"),
+    total = F.floor((F.unix_micros(end) - F.unix_micros("_start") + 5) / 10) / F.lit(100.0)
+    return out.select(*request, *[f"{k}_first_200_at" for k in kinds], total.alias("readiness_total_ms"),
                       F.when(both, "ready").otherwise("publish_verification_failed").alias("readiness_result"))
 
 

@@ -10,6 +10,7 @@ Equal headlines collapse first, so copies cost one row.
 
 from __future__ import annotations
 
+from collections import Counter
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -19,23 +20,59 @@ from pyspark.sql import types as T
 
 from broadsheet import fixed_values as fv
 from broadsheet.functions import text as tx
-from broadsheet.session import broadcast_if_small
+from broadsheet.session import broadcast_if_small, stored
 
 RATIO = fv.SAME_EVENT_RATIO
 # Smallest share of a headline that any partner must cover, whatever the partner's length.
 LEAST_SHARE = RATIO / (2 - RATIO)
 ROWS_PER_SALT = 20_000
+FOLDS = 32  # classes the characters of a headline are counted in
+
+
+def _room(new: str, kept: str) -> int:
+    """Characters two spans can share at most."""
+    return sum((Counter(new) & Counter(kept)).values()) if new and kept else 0
+
+
+def close_ratio(matcher: SequenceMatcher, new: str, kept: str) -> float:
+    """The matching-blocks ratio, or 0 as soon as the threshold is out of reach.
+
+    Not symmetric: the order of the arguments counts.
+    """
+    if new == kept:
+        return 1.0
+    total = len(new) + len(kept)
+    matched, reachable = 0, _room(new, kept)
+    if 2 * reachable < RATIO * total - 1e-9:
+        return 0.0
+    matcher.set_seqs(new, kept)
+    spans = [(reachable, 0, len(new), 0, len(kept))]
+    while spans:
+        room, a0, a1, b0, b1 = spans.pop()
+        block = matcher.find_longest_match(a0, a1, b0, b1)
+        reachable -= room
+        if block.size:
+            matched += block.size
+            ea, eb = block.a + block.size, block.b + block.size
+            for sa, ta, sb, tb in ((a0, block.a, b0, block.b), (ea, a1, eb, b1)):
+                room = _room(new[sa:ta], kept[sb:tb])
+                if room:
+                    spans.append((room, sa, ta, sb, tb))
+                    reachable += room
+            spans.sort()
+        if 2 * (matched + reachable) < RATIO * total - 1e-9:
+            return 0.0
+    return 2.0 * matched / total
 
 
 @F.pandas_udf(T.DoubleType())
-def headline_ratio(new: pd.Series, kept: pd.Series) -> pd.Series:
-    """Matching-blocks ratio of two headline keys; not symmetric, so the order of arguments counts."""
+def _headline_ratio(new: pd.Series, kept: pd.Series) -> pd.Series:
     matcher = SequenceMatcher(None)
-    out = []
-    for a, b in zip(new, kept):
-        matcher.set_seqs(a, b)
-        out.append(matcher.ratio())
-    return pd.Series(out, index=new.index, dtype="float64")
+    return pd.Series([close_ratio(matcher, a, b) for a, b in zip(new, kept)], index=new.index, dtype="float64")
+
+
+# Not to be evaluated twice, as a filter on its result otherwise would.
+headline_ratio = _headline_ratio.asNondeterministic()
 
 
 def versions_conflict(a: Column, b: Column) -> Column:
@@ -47,22 +84,32 @@ def event_key(title: Column) -> list[Column]:
 
 
 def character_tokens(key: Column) -> Column:
-    """The key's characters as a set: each with its occurrence number."""
+    """The key's characters as a set of numbers: code point and occurrence; [0] for an empty key."""
     chars = F.array_sort(F.filter(F.split(key, ""), lambda c: c != ""))
-    return tx.let(chars, lambda cs: F.transform(
-        cs, lambda c, i: F.concat(c, (i + 2 - F.array_position(cs, c)).cast("string"))))
+    tokens = tx.let(chars, lambda cs: F.transform(
+        cs, lambda c, i: F.ascii(c).cast("bigint") * 100_000 + i + 2 - F.array_position(cs, c)))
+    return F.when(key == "", F.array(F.lit(0).cast("bigint"))).otherwise(tokens)
 
 
-def _indexed(keys: DataFrame, scope: list[str], weights: DataFrame) -> DataFrame:
-    """Each key with its tokens, rarest first, and the length of the prefix to index."""
-    exploded = keys.filter(F.col("title_key") != "").select(
+def _postings(keys: DataFrame, scope: list[str], weights: DataFrame, side: str, spread: Column) -> DataFrame:
+    """One row per token of each key's prefix, rarest tokens first: position, length and folded counts."""
+    exploded = keys.select(
         *scope, "title_key", "versions", F.explode(character_tokens(F.col("title_key"))).alias("token"))
+    fold = F.floor(F.col("token") / 100_000) % FOLDS
     ranked = exploded.join(weights, "token").groupBy(*scope, "title_key", "versions").agg(
-        F.array_sort(F.collect_list(F.struct("weight", "token"))).alias("tokens"))
-    n = F.size("tokens")
+        F.sort_array(F.collect_list(F.struct("weight", "token"))).alias("tokens"),
+        *[F.count_if(fold == i).cast("int").alias(f"{side}_c{i}") for i in range(FOLDS)])
+    n = F.length("title_key")
     prefix = n - F.ceil(n * F.lit(LEAST_SHARE) - F.lit(1e-9)).cast("int") + 1
-    return ranked.select(*scope, "title_key", "versions", n.alias("n"), F.col("tokens.token").alias("tokens"),
-                         F.slice(F.col("tokens.token"), F.lit(1), prefix).alias("prefix"))
+    signed = ranked.select(
+        *scope, F.col("title_key").alias(f"{side}_key"), F.col("versions").alias(f"{side}_versions"), n.alias(f"{side}_n"),
+        *[f"{side}_c{i}" for i in range(FOLDS)],
+        F.slice("tokens", F.lit(1), prefix).alias("prefix"))
+    posted = signed.select("*", F.posexplode("prefix").alias(f"{side}_pos", "t")).drop("prefix")
+    # A token shared by very many headlines is spread over several reducers.
+    salts = F.greatest(F.lit(1), F.ceil(F.col("t.weight") / ROWS_PER_SALT)).cast("int")
+    return posted.withColumn("token", F.col("t.token")).withColumn("salts", salts).drop("t").withColumn(
+        "salt", spread).drop("salts")
 
 
 def event_pairs(new: DataFrame, kept: DataFrame, scope: list[str]) -> DataFrame:
@@ -73,41 +120,25 @@ def event_pairs(new: DataFrame, kept: DataFrame, scope: list[str]) -> DataFrame:
     """
     new = new.select(*scope, "title_key", "versions").distinct()
     kept = kept.select(*scope, "title_key", "versions").distinct()
-    tokens = kept.select(F.explode(character_tokens(F.col("title_key"))).alias("token"))
+    both = new.select("title_key").unionByName(kept.select("title_key"))
     # One row per distinct character occurrence: small by nature, still checked before the hint.
-    counts = tokens.unionByName(new.select(F.explode(character_tokens(F.col("title_key"))).alias("token"))).groupBy(
-        "token").agg(F.count("*").alias("weight"))
-    weights = broadcast_if_small(counts)
-
-    def posting(df: DataFrame, side: str) -> DataFrame:
-        return _indexed(df, scope, weights).select(
-            *scope, F.col("title_key").alias(f"{side}_key"), F.col("versions").alias(f"{side}_versions"),
-            F.col("n").alias(f"{side}_n"), F.col("tokens").alias(f"{side}_tokens"),
-            F.col("prefix").alias(f"{side}_prefix"), F.explode("prefix").alias("token"))
-
-    # A token shared by very many headlines is spread over several reducers.
-    salts = F.greatest(F.lit(1), F.ceil(F.col("weight") / ROWS_PER_SALT)).cast("int")
-    left = posting(new, "new").join(weights.select("token", salts.alias("salts")), "token").withColumn(
-        "salt", F.pmod(F.xxhash64("new_key"), F.col("salts")).cast("int")).drop("salts")
-    right = posting(kept, "kept").join(weights.select("token", salts.alias("salts")), "token").withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
-    length = F.col("new_n") + F.col("kept_n")
-    bound = length * F.lit(RATIO / 2) - F.lit(1e-9)
-    shorter = F.least("new_n", "kept_n")
-    joined = left.join(right, [*scope, "token", "salt"])
-    candidates = joined.filter(
-        (shorter >= bound)
-        & ~versions_conflict(F.col("new_versions"), F.col("kept_versions"))
-        # A pair meets on its first shared prefix token only, so it is produced once.
-        & (F.array_intersect("new_prefix", "kept_prefix")[0] == F.col("token"))
-        & (F.size(F.array_intersect("new_tokens", "kept_tokens")) >= bound)
-    ).select(*scope, "new_key", "new_versions", "kept_key", "kept_versions")
-    scored = candidates.withColumn("ratio", headline_ratio("new_key", "kept_key")).filter(F.col("ratio") >= RATIO)
-    # Headlines without any letter or digit have ratio 1 with each other and 0 with the rest.
-    blank_new = new.filter("title_key = ''").select(*scope, F.col("title_key").alias("new_key"), F.col("versions").alias("new_versions"))
-    blank_kept = kept.filter("title_key = ''").select(*scope, F.col("title_key").alias("kept_key"), F.col("versions").alias("kept_versions"))
-    blank = blank_new.join(blank_kept, scope).withColumn("ratio", F.lit(1.0))
-    return scored.unionByName(blank)
+    weights = broadcast_if_small(stored(
+        both.select(F.explode(character_tokens(F.col("title_key"))).alias("token")).groupBy("token").agg(F.count("*").alias("weight")),
+        "weights"))
+    left = _postings(new, scope, weights, "new", F.pmod(F.xxhash64("new_key"), F.col("salts")).cast("int"))
+    right = _postings(kept, scope, weights, "kept", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    bound = (F.col("new_n") + F.col("kept_n")) * F.lit(RATIO / 2) - F.lit(1e-9)
+    # No more characters can be shared than follow the first shared one (its posting always survives
+    # this), nor more than the counts per character class allow.
+    follow = F.least(F.col("new_n") - F.col("new_pos"), F.col("kept_n") - F.col("kept_pos"))
+    apart = sum((F.abs(F.col(f"new_c{i}") - F.col(f"kept_c{i}")) for i in range(FOLDS)), F.lit(0))
+    pair = [*scope, "new_key", "new_versions", "kept_key", "kept_versions"]
+    near = left.join(right, [*scope, "token", "salt"]).filter(
+        (follow >= bound) & (F.col("new_n") + F.col("kept_n") - apart >= 2 * bound)
+        & ~versions_conflict(F.col("new_versions"), F.col("kept_versions"))).select(*pair).distinct()
+    # The ratio is costly per row, so its input is cut by row count rather than by bytes.
+    near = near.repartition(int(new.sparkSession.conf.get("spark.sql.shuffle.partitions")), "new_key", "kept_key")
+    return near.withColumn("ratio", headline_ratio("new_key", "kept_key")).filter(F.col("ratio") >= RATIO)
 
 
 def exclude_published(articles: DataFrame, history: DataFrame, scope: list[str], events: bool = True) -> DataFrame:

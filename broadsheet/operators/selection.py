@@ -130,7 +130,7 @@ def same_event(a, b) -> bool:
     """Row-level twin of the event join, for the few rows already picked."""
     if a.versions and b.versions and a.versions != b.versions:
         return False
-    return SequenceMatcher(None, a.title_key, b.title_key).ratio() >= fv.SAME_EVENT_RATIO
+    return lk.close_ratio(SequenceMatcher(None), a.title_key, b.title_key) >= fv.SAME_EVENT_RATIO
 
 
 def duplicate_reason(row, kept) -> tuple[str, str] | None:
@@ -307,7 +307,7 @@ def _bilingual_twin(row, kept: list) -> bool:
         va, vb = getattr(row, versions), getattr(other, versions)
         if va and vb and va != vb:
             return False
-        return SequenceMatcher(None, getattr(row, key), getattr(other, key)).ratio() >= fv.SAME_EVENT_RATIO
+        return lk.close_ratio(SequenceMatcher(None), getattr(row, key), getattr(other, key)) >= fv.SAME_EVENT_RATIO
 
     return any(close("key_cn", "versions_cn", o) and close("key_en", "versions_en", o) for o in kept)
 

@@ -28,7 +28,7 @@ streak AS (SELECT h.source_id, count(*) AS n FROM v_health h LEFT JOIN fine USIN
   WHERE h.status IN ('error','timeout','failed') AND (last_fine IS NULL OR h.id > last_fine) GROUP BY h.source_id)
 SELECT h.source_id, count(*) FILTER (status = 'ok') AS success_count, count(*) FILTER (error_kind = 'timeout') AS timeout_count,
   count(*) FILTER (status = 'empty') AS empty_count, count(*) FILTER (status = 'error' AND error_kind <> 'timeout') AS failure_count,
-  round(avg(duration_ms), 2) AS average_duration_ms, count(*) AS sample_count, count(duration_ms) AS duration_sample_count,
+  ((2 * CAST(sum(CAST(round(duration_ms * 1000000) AS BIGINT)) AS BIGINT) + count(*) * 10000) // (2 * count(*) * 10000)) / 100::DOUBLE AS average_duration_ms, count(*) AS sample_count, count(duration_ms) AS duration_sample_count,
   CASE WHEN count(duration_ms) >= 20 THEN list_sort(list(duration_ms))[CAST(ceil(0.95::DOUBLE * count(duration_ms)) AS BIGINT)] END AS p95_duration_ms,
   coalesce(any_value(s.n), 0) AS consecutive_failures,
   {micro_sql("max(checked_at) FILTER (status = 'ok')", 'last_success_at')}, {micro_sql('min(checked_at)', 'statistics_since')}
@@ -144,7 +144,7 @@ GRID = list(range(4000, 1199, -200))
 
 
 @query("char_limit_plan", v.sql(v.V_BASE, select=f"""
-, b AS (SELECT feed_id, CAST(epoch(published_at) // 86400 AS BIGINT) AS day_no, count(*) AS members, {', '.join(f'CAST(sum(least(length(raw_text), {g})) AS BIGINT) AS c{g}' for g in GRID)} FROM v_base GROUP BY 1, 2),
+, b AS (SELECT feed_id, CAST(floor(epoch(published_at) / 86400) AS BIGINT) AS day_no, count(*) AS members, {', '.join(f'CAST(sum(least(length(raw_text), {g})) AS BIGINT) AS c{g}' for g in GRID)} FROM v_base GROUP BY 1, 2),
 own AS (SELECT *, CASE {' '.join(f'WHEN {NEED_SQL.format(g)} <= 20000 THEN {g}' for g in GRID)} ELSE 1200 END AS own_limit FROM b),
 lim AS (SELECT *, min(own_limit) OVER (PARTITION BY feed_id ORDER BY day_no) AS char_limit FROM own)
 SELECT feed_id, day_no, members, CAST(char_limit AS INTEGER) AS char_limit, need AS required_tokens, need <= 20000 AS fits
@@ -181,7 +181,7 @@ def batch_rollup(spark, sf):
 
 @query("readiness_summary", v.sql(v.V_ATTEMPTS, select=f"""
 SELECT user_id, strftime(day, '%Y-%m-%d') AS day, {micro_sql('h5', 'h5_first_200_at')}, {micro_sql('js', 'json_first_200_at')},
-  round((epoch_us(CASE WHEN h5 IS NOT NULL AND js IS NOT NULL THEN greatest(h5, js) ELSE hi END) - epoch_us(lo)) / 1000.0, 2) AS readiness_total_ms,
+  ((epoch_us(CASE WHEN h5 IS NOT NULL AND js IS NOT NULL THEN greatest(h5, js) ELSE hi END) - epoch_us(lo) + 5) // 10) / 100::DOUBLE AS readiness_total_ms,
   CASE WHEN h5 IS NOT NULL AND js IS NOT NULL THEN 'ready' ELSE 'publish_verification_failed' END AS readiness_result
 FROM (SELECT user_id, day, min(ts) AS lo, max(ts) AS hi, min(ts) FILTER (kind = 'h5' AND http_status = 200) AS h5,
   min(ts) FILTER (kind = 'json' AND http_status = 200) AS js FROM v_attempts GROUP BY 1, 2)"""))

@@ -121,12 +121,12 @@ def _now():
 
 
 @query("age", f"""
-SELECT event_id, round((epoch_us({NOW_SQL}) - epoch_us(ts)) / 3600000000.0, 6) AS age_hours,
-       round((epoch_us({NOW_SQL}) - epoch_us(ts)) / 86400000000.0, 6) AS age_days FROM events""")
+SELECT event_id, (epoch_us({NOW_SQL}) - epoch_us(ts)) / 3600000000::DOUBLE AS age_hours,
+       (epoch_us({NOW_SQL}) - epoch_us(ts)) / 86400000000::DOUBLE AS age_days FROM events""")
 def age(spark, sf):
     ts = F.col("ts")
-    return v.table(spark, sf, "events").select("event_id", F.round(ru.age_hours(ts, _now()), 6).alias("age_hours"),
-                                               F.round(ru.age_days(ts, _now()), 6).alias("age_days"))
+    return v.table(spark, sf, "events").select("event_id", ru.age_hours(ts, _now()).alias("age_hours"),
+                                               ru.age_days(ts, _now()).alias("age_days"))
 
 
 DEEP_SQL = f"(regexp_matches(title, '(?i)({v.DEEP})') AND length(clean_text) >= 1500 AND source_tier <= 2)"

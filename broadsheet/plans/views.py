@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from broadsheet import fixed_values as fv
 from broadsheet.functions import rules as ru
 from broadsheet.functions import text as tx
+from broadsheet.session import spread
 
 TOPIC = "the|and|est|und|que"
 IMPACT = "ing"
@@ -36,7 +37,7 @@ def _pick(values, index):
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as articles; cleaning and hashing cost nothing where they are not selected."""
     doc = F.col("doc_id")
-    df = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    df = spread(table(spark, sf_dir, "documents")).join(table(spark, sf_dir, "labels"), "doc_id", "left")
     url_id = F.when(doc % 25 == 24, doc - 1).otherwise(doc)
     df = df.select(
         doc,
@@ -174,7 +175,7 @@ def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages")
+    return spread(table(spark, sf_dir, "pages"))
 
 
 # --- The same bindings as SQL CTEs -------------------------------------------------

@@ -58,3 +58,9 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only behind a size check; a larger side keeps the shuffle join."""
     return F.broadcast(df) if small(df, rows) else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores where a table comes in fewer pieces than the cluster has; otherwise leave it."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
