@@ -120,7 +120,6 @@ def candidate_pool(features: DataFrame, editions: DataFrame, history: DataFrame,
 
 # --- picking ------------------------------------------------------------------------
 CLASS = ["layer", "level", "importance_class", "major", "category", "source", "source_tier"]
-ORDER = [F.desc("score"), F.desc("published_at"), F.desc("id")]
 PICK_SCHEMA = (
     "feed_id int, report_date date, id string, layer string, level int, score double, importance int, "
     "pick int, state string, reason string, duplicate_of string")
@@ -257,7 +256,7 @@ def shortlist(pool: DataFrame, keep: int) -> DataFrame:
         "importance_class", F.floor(F.col("importance") / 10).cast("int"))
     sizes = pool.groupBy(*EDITION, *CLASS).agg(F.count("*").alias("class_size"))
     majors = sizes.filter(F.col("major") & (F.col("level") <= 2)).groupBy(*EDITION).agg(F.sum("class_size").alias("majors"))
-    w = Window.partitionBy(*EDITION, *CLASS).orderBy(*ORDER)
+    w = Window.partitionBy(*EDITION, *CLASS).orderBy(F.desc("score"), F.desc("published_at"), F.desc("id"))
     best = pool.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= keep)
     return best.join(sizes, [*EDITION, *CLASS]).join(majors, EDITION, "left").fillna(0, ["majors"])
 
