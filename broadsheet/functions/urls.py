@@ -82,8 +82,16 @@ def _join_url(base: pd.Series, href: pd.Series) -> pd.Series:
     return pd.Series([resolve(b, h) for b, h in zip(base, href)], index=base.index, dtype=object)
 
 
-def normalize_index_url(base: Column, href: Column, hosts) -> Column:
-    """Resolve a link against its index page, tidy the path, prefer https on the source's own hosts."""
-    joined = _join_url(base, href)
-    upgrade = (scheme(joined) == "http") & host_in(host(joined), hosts)
-    return F.when(upgrade, F.regexp_replace(joined, "(?i)^http:", "https:")).otherwise(joined)
+# Kept out of expression rewriting: its result feeds lambdas, which may not hold a Python call.
+join_url = _join_url.asNondeterministic()
+
+
+def prefer_https(url: Column, hosts) -> Column:
+    """Upgrade plain http links that stay on the source's own hosts."""
+    upgrade = (scheme(url) == "http") & host_in(host(url), hosts)
+    return F.when(upgrade, F.regexp_replace(url, "(?i)^http:", "https:")).otherwise(url)
+
+
+def normalize_index_url(df, base: str, href: str, hosts, name: str = "url"):
+    """Resolve a link against its index page, tidy the path, prefer https."""
+    return df.withColumn("_joined", join_url(base, href)).withColumn(name, prefer_https(F.col("_joined"), hosts)).drop("_joined")

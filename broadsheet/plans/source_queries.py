@@ -107,4 +107,5 @@ def board_items(spark, sf):
 @query("normalize_index_url")
 def normalize_index_url(spark, sf):
     href = F.concat(F.lit("../a//b/./"), F.col("page_id"), F.when(F.col("page_id") % 2 == 0, "/").otherwise(""))
-    return v.pages(spark, sf).select("page_id", urls.normalize_index_url(F.col("url"), href, ("example.com",)).alias("url"))
+    links = v.pages(spark, sf).select("page_id", F.col("url").alias("base"), href.alias("href"))
+    return urls.normalize_index_url(links, "base", "href", ("example.com",)).select("page_id", "url")
