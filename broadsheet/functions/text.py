@@ -38,9 +38,13 @@ def _unescape(values: pd.Series) -> pd.Series:
     return values.map(html.unescape, na_action="ignore")
 
 
-def unescape(text: Column) -> Column:
-    """HTML entities; only rows holding an ampersand are handed to Python."""
-    return F.coalesce(_unescape(F.when(text.contains("&"), text)), text)
+def unescape(text: Column, fence: bool = False) -> Column:
+    """HTML entities; only rows holding an ampersand are handed to Python.
+
+    With `fence` the result is not merged into later expressions, as unescaping it again needs.
+    """
+    decode = _unescape.asNondeterministic() if fence else _unescape
+    return F.coalesce(decode(F.when(text.contains("&"), text)), text)
 
 
 def squeeze(text: Column) -> Column:
@@ -60,8 +64,8 @@ def drop_repeated_chunks(text: Column) -> Column:
     return let(F.split(text, " "), rebuild)
 
 
-def clean_text(text: Column, limit: int = fv.CLEAN_LIMIT, entities: bool = True) -> Column:
-    plain = unescape(text) if entities else text
+def clean_text(text: Column, limit: int = fv.CLEAN_LIMIT, entities: bool = True, fence: bool = False) -> Column:
+    plain = unescape(text, fence) if entities else text
     return F.trim(F.substring(drop_repeated_chunks(squeeze(plain)), 1, limit))
 
 

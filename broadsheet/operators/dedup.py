@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from broadsheet import fixed_values as fv
 from broadsheet.functions import text as tx
+from broadsheet.session import small
 
 
 def unique_urls(items: DataFrame, url: str, seq: str) -> DataFrame:
@@ -58,6 +59,19 @@ def exclude_known(batch: DataFrame, known: DataFrame, url: str = "original_url",
     return batch.join(urls, url, "left_anti").join(prints, key, "left_anti")
 
 
+def colliding(known: DataFrame, batch: DataFrame) -> DataFrame:
+    """Stored keys a small batch can collide with: the table is scanned, only matches are shuffled.
+
+    Larger batches keep the whole table, whose join then is the cheaper one.
+    """
+    keys = known.select("original_url", "fingerprint")
+    if not small(batch):
+        return keys
+    by_url = keys.join(F.broadcast(batch.select("original_url").distinct()), "original_url", "left_semi")
+    by_print = keys.join(F.broadcast(batch.select("fingerprint").distinct()), "fingerprint", "left_semi")
+    return by_url.unionByName(by_print)
+
+
 def new_articles(batch: DataFrame, known: DataFrame, seq: str = "seq") -> DataFrame:
     """Rows of a batch that may be appended: unknown to the table and first of their fingerprint."""
     return first_fingerprint(exclude_known(batch, known), seq)

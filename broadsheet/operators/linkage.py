@@ -91,7 +91,7 @@ def character_tokens(key: Column) -> Column:
     return F.when(key == "", F.array(F.lit(0).cast("bigint"))).otherwise(tokens)
 
 
-def _postings(keys: DataFrame, scope: list[str], weights: DataFrame, side: str, spread: Column) -> DataFrame:
+def _postings(keys: DataFrame, scope: list[str], weights: DataFrame, hot: DataFrame, side: str, spread: Column) -> DataFrame:
     """One row per token of each key's prefix, rarest tokens first: position, length and folded counts."""
     exploded = keys.select(
         *scope, "title_key", "versions", F.explode(character_tokens(F.col("title_key"))).alias("token"))
@@ -106,10 +106,8 @@ def _postings(keys: DataFrame, scope: list[str], weights: DataFrame, side: str,
         *[f"{side}_c{i}" for i in range(FOLDS)],
         F.slice("tokens", F.lit(1), prefix).alias("prefix"))
     posted = signed.select("*", F.posexplode("prefix").alias(f"{side}_pos", "t")).drop("prefix")
-    # A token shared by very many headlines is spread over several reducers.
-    salts = F.greatest(F.lit(1), F.ceil(F.col("t.weight") / ROWS_PER_SALT)).cast("int")
-    return posted.withColumn("token", F.col("t.token")).withColumn("salts", salts).drop("t").withColumn(
-        "salt", spread).drop("salts")
+    posted = posted.withColumn("token", F.col("t.token")).drop("t").join(hot, [*scope, "token"], "left")
+    return posted.withColumn("salts", F.coalesce("salts", F.lit(1))).withColumn("salt", spread).drop("salts")
 
 
 def event_pairs(new: DataFrame, kept: DataFrame, scope: list[str]) -> DataFrame:
@@ -120,13 +118,17 @@ def event_pairs(new: DataFrame, kept: DataFrame, scope: list[str]) -> DataFrame:
     """
     new = new.select(*scope, "title_key", "versions").distinct()
     kept = kept.select(*scope, "title_key", "versions").distinct()
-    both = new.select("title_key").unionByName(kept.select("title_key"))
-    # One row per distinct character occurrence: small by nature, still checked before the hint.
-    weights = broadcast_if_small(stored(
-        both.select(F.explode(character_tokens(F.col("title_key"))).alias("token")).groupBy("token").agg(F.count("*").alias("weight")),
-        "weights"))
-    left = _postings(new, scope, weights, "new", F.pmod(F.xxhash64("new_key"), F.col("salts")).cast("int"))
-    right = _postings(kept, scope, weights, "kept", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    sides = new.withColumn("_new", F.lit(1)).unionByName(kept.withColumn("_new", F.lit(0)))
+    tokens = sides.select(*scope, "_new", F.explode(character_tokens(F.col("title_key"))).alias("token"))
+    # Headlines per scope and character occurrence, counted once and read back.
+    sizes = stored(tokens.groupBy(*scope, "token").agg(F.count("*").alias("n"), F.sum("_new").alias("n_new")), "tokens")
+    # One row per character occurrence in use: small by nature, still checked before the hint.
+    weights = broadcast_if_small(sizes.groupBy("token").agg(F.sum("n").alias("weight")))
+    # A token shared by very many headlines of a scope is spread over several reducers.
+    hot = broadcast_if_small(sizes.filter(F.col("n_new") > ROWS_PER_SALT).select(
+        *scope, "token", F.ceil(F.col("n_new") / ROWS_PER_SALT).cast("int").alias("salts")))
+    left = _postings(new, scope, weights, hot, "new", F.pmod(F.xxhash64("new_key"), F.col("salts")).cast("int"))
+    right = _postings(kept, scope, weights, hot, "kept", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
     bound = (F.col("new_n") + F.col("kept_n")) * F.lit(RATIO / 2) - F.lit(1e-9)
     # No more characters can be shared than follow the first shared one (its posting always survives
     # this), nor more than the counts per character class allow.

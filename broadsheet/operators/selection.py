@@ -13,7 +13,7 @@ from collections import Counter
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet import fixed_values as fv
@@ -22,6 +22,7 @@ from broadsheet.functions import text as tx
 from broadsheet.functions import urls
 from broadsheet.operators import linkage as lk
 from broadsheet.operators.admission import first_reason
+from broadsheet.operators.dedup import first_per_key
 from broadsheet.session import broadcast_if_small, stored
 
 EDITION = ["feed_id", "report_date"]
@@ -82,7 +83,10 @@ def candidate_pool(features: DataFrame, editions: DataFrame, history: DataFrame,
     known = features.join(first_published(past, ["fingerprint"], "print_since"), ["feed_id", "fingerprint"], "left")
     known = known.join(first_published(past, ["url_key"], "url_since"), ["feed_id", "url_key"], "left")
     if events:
-        pairs = lk.event_pairs(features, past, ["feed_id"])
+        # Rows another gate drops in every edition are never compared.
+        open_ = features.filter(F.col("editorial") & (F.col("source_tier") <= 3) & (F.col("source_role") != "discovery")
+                                & (F.col("verification_status") == "source_verified"))
+        pairs = lk.event_pairs(open_, past, ["feed_id"])
         first = first_published(past, ["title_key", "versions"], "since").withColumnsRenamed(
             {"title_key": "kept_key", "versions": "kept_versions"})
         since = pairs.join(first, ["feed_id", "kept_key", "kept_versions"]).groupBy(
@@ -119,7 +123,9 @@ def candidate_pool(features: DataFrame, editions: DataFrame, history: DataFrame,
 
 
 # --- picking ------------------------------------------------------------------------
-CLASS = ["layer", "level", "importance_class", "major", "category", "source", "source_tier"]
+# Rows of one class are told apart by nothing but score, time and id; rows of one group also by source.
+GROUP = ["layer", "level", "importance_class", "major", "category", "source_tier"]
+CLASS = [*GROUP, "source"]
 PICK_SCHEMA = (
     "feed_id int, report_date date, id string, layer string, level int, score double, importance int, "
     "pick int, state string, reason string, duplicate_of string")
@@ -154,15 +160,33 @@ class Limits:
 
 
 class Cut(Exception):
-    """A cut class was used up before the edition was decided."""
+    """A cut class or group was used up before the edition was decided."""
+
+
+class Stock:
+    """Rows left per class and per group, and which of them the shortlist cut short."""
+
+    def __init__(self, rows: list, cut: set):
+        self.cut = cut
+        self.left = Counter(key for r in rows for key in (r.cls, r.grp))
+
+    def use(self, row) -> None:
+        self.left[row.cls] -= 1
+        self.left[row.grp] -= 1
+
+    def close(self, key) -> None:
+        """What the shortlist left out of `key` would be blocked like the row just seen."""
+        self.left[key] = float("inf")
+
+    def short(self, row) -> bool:
+        return any(not self.left[key] and key in self.cut for key in (row.cls, row.grp))
 
 
 class Round:
-    """Greedy picks over one shortlist; `cut` maps a class to the rows it really has."""
+    """Greedy picks over one shortlist; `cut` names its incomplete classes and groups."""
 
-    def __init__(self, rows: list, limits: Limits, rules: dict, cut: dict, earlier: list | None = None):
+    def __init__(self, rows: list, limits: Limits, rules: dict, cut: set):
         self.rows, self.limits, self.rules, self.cut = rows, limits, rules, cut
-        self.earlier = earlier or []
         self.picks: list = []
         self.out: dict[str, tuple[str, str | None]] = {}
         self.deferred: list = []
@@ -193,7 +217,7 @@ class Round:
 
     def run_level(self, level: int) -> None:
         waiting = [r for r in self.rows if r.level == level]
-        left = Counter(r.cls for r in waiting)
+        stock = Stock(waiting, self.cut)
         while waiting and len(self.picks) < self.limits.cap:
             outside = sum(r.category not in self.rules["personal_categories"] for r in self.picks)
             exploring = outside < self.rules["explore_minimum"]
@@ -202,16 +226,18 @@ class Round:
             picked = None
             for place, row in enumerate(waiting):
                 found = duplicate_reason(row, self.picks)
-                left[row.cls] -= 1
+                stock.use(row)
                 if found:
                     self.out[row.id] = found
                 elif self.blocked(row):
                     self.deferred.append(row)
-                    left[row.cls] = len(waiting)  # the rest of its class is blocked as well
+                    stock.close(row.cls)
+                    if self.categories[row.category] >= self.limits.category:
+                        stock.close(row.grp)
                 else:
                     picked = place
                     self.take(row)
-                if not left[row.cls] and row.cls in self.cut and len(self.picks) < self.limits.cap:
+                if stock.short(row) and len(self.picks) < self.limits.cap:
                     raise Cut
                 if picked is not None:
                     break
@@ -220,18 +246,18 @@ class Round:
 
     def fill(self) -> None:
         """Blocked rows return, best score first, only while the minimum is missed."""
-        left = Counter(r.cls for r in self.deferred)
+        stock = Stock(self.deferred, self.cut)
         for row in sorted(self.deferred, key=lambda r: r.score, reverse=True):
             if len(self.picks) >= self.limits.fill_to:
                 break
-            left[row.cls] -= 1
+            stock.use(row)
             found = duplicate_reason(row, self.picks)
             if found:
                 self.out[row.id] = (found[0], None)
             else:
                 self.take(row)
                 self.exception = True
-            if not left[row.cls] and row.cls in self.cut and len(self.picks) < self.limits.fill_to:
+            if stock.short(row) and len(self.picks) < self.limits.fill_to:
                 raise Cut
 
     def run(self) -> None:
@@ -251,25 +277,37 @@ class Round:
 
 
 def shortlist(pool: DataFrame, keep: int) -> DataFrame:
-    """The best rows of each class per edition, with the class's true size and the edition's majors."""
+    """The rows of each edition a picker can need, whatever the number of rows and sources.
+
+    The best `keep` rows of each class, of those the best of each group (enough for every blocked
+    source to fill a class), with the true sizes and the edition's number of majors.
+    """
     pool = pool.withColumn("major", F.col("importance") >= fv.RULES["major_score"]).withColumn(
         "importance_class", F.floor(F.col("importance") / 10).cast("int"))
     sizes = pool.groupBy(*EDITION, *CLASS).agg(F.count("*").alias("class_size"))
+    groups = sizes.groupBy(*EDITION, *GROUP).agg(F.sum(F.least("class_size", F.lit(keep))).alias("group_size"))
     majors = sizes.filter(F.col("major") & (F.col("level") <= 2)).groupBy(*EDITION).agg(F.sum("class_size").alias("majors"))
-    w = Window.partitionBy(*EDITION, *CLASS).orderBy(F.desc("score"), F.desc("published_at"), F.desc("id"))
-    best = pool.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= keep)
-    return best.join(sizes, [*EDITION, *CLASS]).join(majors, EDITION, "left").fillna(0, ["majors"])
+    order = [F.desc("score"), F.desc("published_at"), F.desc("id")]
+    best = first_per_key(pool, [*EDITION, *CLASS], order, keep)
+    best = first_per_key(best, [*EDITION, *GROUP], order, group_keep(keep))
+    return best.join(sizes, [*EDITION, *CLASS]).join(groups, [*EDITION, *GROUP]).join(majors, EDITION, "left").fillna(0, ["majors"])
+
+
+def group_keep(keep: int) -> int:
+    return (fv.RULES["maximum"] + 2) * keep
 
 
-def _rows(pdf: pd.DataFrame) -> tuple[list, dict]:
+def _rows(pdf: pd.DataFrame, keep: int) -> tuple[list, set]:
     pdf = pdf.sort_values(["score", "published_at", "id"], ascending=False, kind="stable")
-    pdf = pdf.assign(versions=pdf["versions"].map(tuple), cls=list(pdf[CLASS].itertuples(index=False, name=None)))
+    pdf = pdf.assign(versions=pdf["versions"].map(tuple), cls=list(pdf[CLASS].itertuples(index=False, name=None)),
+                     grp=list(pdf[GROUP].itertuples(index=False, name=None)))
     if "versions_cn" in pdf:
         pdf = pdf.assign(versions_cn=pdf["versions_cn"].map(tuple), versions_en=pdf["versions_en"].map(tuple))
     rows = list(pdf.itertuples(index=False, name="Row"))
+    # A class missing rows only because its group was cut is the group's business: they rank behind all the group holds.
     held = Counter(r.cls for r in rows)
-    cut = {r.cls: r.class_size for r in rows if r.class_size > held[r.cls]}
-    return rows, cut
+    cut = {r.cls for r in rows if r.class_size > keep and held[r.cls] == keep}
+    return rows, cut | {r.grp for r in rows if r.group_size > group_keep(keep)}
 
 
 def _result(pdf: pd.DataFrame, picks: list, lost: list, complete: bool) -> pd.DataFrame:
@@ -284,9 +322,9 @@ def _result(pdf: pd.DataFrame, picks: list, lost: list, complete: bool) -> pd.Da
     return out.astype({"level": "Int32", "importance": "Int32", "pick": "Int32"})
 
 
-def _greedy(rules: dict, limit: int | None):
+def _greedy(rules: dict, limit: int | None, keep: int):
     def pick(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows, cut = _rows(pdf)
+        rows, cut = _rows(pdf, keep)
         ceiling = limit or rules["maximum"]
         cap = min(ceiling, rules["maximum"] if int(pdf["majors"].iloc[0]) >= 10 else rules["target"])
         run = Round(rows, Limits(cap, rules), rules, cut)
@@ -311,11 +349,11 @@ def _bilingual_twin(row, kept: list) -> bool:
     return any(close("key_cn", "versions_cn", o) and close("key_en", "versions_en", o) for o in kept)
 
 
-def _layered(rules: dict, limit: int | None):
+def _layered(rules: dict, limit: int | None, keep: int):
     target = min(rules["target"], limit or rules["maximum"])
 
     def pick(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows, cut = _rows(pdf)
+        rows, cut = _rows(pdf, keep)
         final: list = []
         lost: list = []
         locked = 0
@@ -333,13 +371,13 @@ def _layered(rules: dict, limit: int | None):
                 twin = _bilingual_twin(row, final)
                 found = None if twin else duplicate_reason(row, final)
                 if twin or found:
-                    dropped[row.cls] += 1
+                    dropped.update((row.cls, row.grp))
                     why = "duplicate_with_locked_selection" if twin else found[0].replace("duplicate", "historical")
                     lost.append((row, why, None if twin else found[1]))
                 else:
                     open_rows.append(row)
-            held = Counter(r.cls for r in members)
-            if any(cls in cut and dropped[cls] == held[cls] for cls in held):
+            held = Counter(key for r in members for key in (r.cls, r.grp))
+            if any(key in cut and dropped[key] == held[key] for key in held):
                 return _result(pdf, final, [], complete=False)
             run = Round(open_rows, Limits(room, rules), rules, cut)
             try:
@@ -417,7 +455,7 @@ def _pick_editions(pool: DataFrame, picker, keep: int) -> DataFrame:
 
 def select_edition(pool: DataFrame, rules: dict = fv.RULES, limit: int | None = None, keep: int = SHORTLIST) -> DataFrame:
     """Picks (and reasons for the shortlisted rest) of every edition; `pool` holds rows without a gate."""
-    return _pick_editions(pool.withColumn("layer", F.lit("single")), _greedy(rules, limit), keep)
+    return _pick_editions(pool.withColumn("layer", F.lit("single")), _greedy(rules, limit, keep), keep)
 
 
 def supply_layer(published_at: Column, tier: Column, deep: Column, now: Column, reserve: dict[str, Column]) -> Column:
@@ -439,7 +477,7 @@ def select_layered(pool: DataFrame, rules: dict = fv.RULES, limit: int | None =
 
     `pool` also holds `layer`, and per language `key_cn`, `versions_cn`, `key_en`, `versions_en`.
     """
-    return _pick_editions(pool.filter(F.col("layer").isNotNull()), _layered(rules, limit), keep)
+    return _pick_editions(pool.filter(F.col("layer").isNotNull()), _layered(rules, limit, keep), keep)
 
 
 def event_dedup_first(items: DataFrame, keys: list[str]) -> DataFrame:

@@ -76,12 +76,13 @@ class _Text(HTMLParser):
 def _visible(batches):
     for pdf in batches:
         rows = []
-        for key, page, include, exclude in zip(pdf["key"], pdf["html"], pdf["include"], pdf["exclude"]):
+        for page, include, exclude in zip(pdf["html"], pdf["include"], pdf["exclude"]):
             parser = _Text(_Selector(include) if include else None, [_Selector(s) for s in (exclude if exclude is not None else [])])
             parser.feed(page or "")
             error = None if parser.matched else "include_selector_did_not_match"
-            rows.append((key, " ".join(parser.text), " ".join(parser.heading), error))
-        yield pd.DataFrame(rows, columns=["key", "joined_text", "heading", "error"])
+            rows.append((" ".join(parser.text), " ".join(parser.heading), error))
+        walked = pd.DataFrame(rows, columns=["joined_text", "heading", "error"], index=pdf.index)
+        yield pd.concat([pdf[["key", "og", "fallback", "date_text"]], walked], axis=1)
 
 
 def _meta(html: str, name: str):
@@ -101,15 +102,14 @@ def extract_articles(pages: DataFrame, key: str, fallback_title: str | None = No
     include = F.col("include") if "include" in pages.columns else F.lit(None).cast("string")
     exclude = F.col("exclude") if "exclude" in pages.columns else F.lit(None).cast("array<string>")
     kind = pages.schema[key].dataType.simpleString()
-    walked = pages.select(F.col(key).alias("key"), "html", include.alias("include"), exclude.alias("exclude")).mapInPandas(
-        _visible, f"key {kind}, joined_text string, heading string, error string")
     fallback = F.col(fallback_title) if fallback_title else F.lit("")
     time_tag = F.nullif(F.regexp_extract("html", r'(?i)<time[^>]+datetime=["\']([^"\']+)', 1), F.lit(""))
     date_text = F.coalesce(*[_meta("html", n) for n in ("article:published_time", "date", "PubDate")], time_tag)
-    # A narrow second scan instead of carrying every page through Python twice.
-    heads = pages.select(F.col(key).alias("key"), _meta("html", "og:title").alias("og"), fallback.alias("fallback"), date_text.alias("date_text"))
-    raw = tx.clean_text(F.col("joined_text"), fv.RAW_LIMIT)
+    heads = pages.select(F.col(key).alias("key"), "html", include.alias("include"), exclude.alias("exclude"), _meta("html", "og:title").alias("og"),
+                         fallback.alias("fallback"), date_text.alias("date_text"))
+    walked = heads.mapInPandas(
+        _visible, f"key {kind}, og string, fallback string, date_text string, joined_text string, heading string, error string")
     title = tx.clean_text(F.coalesce("og", F.nullif(F.col("heading"), F.lit("")), "fallback"), fv.TITLE_LIMIT)
-    out = walked.withColumn("raw_text", raw).join(heads, "key")
+    out = walked.withColumn("raw_text", tx.clean_text(F.col("joined_text"), fv.RAW_LIMIT, fence=True))
     return out.select(F.col("key").alias(key), title.alias("title"), "raw_text", tx.clean_text(F.col("raw_text")).alias("clean_text"),
                       ru.parse_published(F.col("date_text")).alias("published_at"), "error")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from broadsheet.operators.dedup import new_articles
+from broadsheet.operators.dedup import colliding, new_articles
 from broadsheet.session import stored
 
 
@@ -17,7 +17,7 @@ def write_articles(df: DataFrame, path: str) -> None:
 
 def append_articles(batch: DataFrame, path: str, seq: str = "seq") -> DataFrame:
     """Append what the table does not hold yet and return it (single writer: nothing enforces keys)."""
-    known = batch.sparkSession.read.parquet(path).select("original_url", "fingerprint")
+    known = colliding(batch.sparkSession.read.parquet(path), batch)
     # Stored first: the append must not re-read a table it is changing.
     fresh = stored(new_articles(batch, known, seq), "fresh")
     write_articles(fresh, path)

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from broadsheet.operators.dedup import new_articles
-from broadsheet.session import broadcast_if_small
+from broadsheet.operators.dedup import colliding, new_articles
 
 
 def stream_articles(stream: DataFrame, path: str, checkpoint: str, seq: str = "seq", **trigger) -> StreamingQuery:
@@ -31,7 +30,7 @@ def stream_articles(stream: DataFrame, path: str, checkpoint: str, seq: str = "s
 
 
 def _known(spark, path: str, batch: DataFrame, batch_id: int) -> DataFrame:
-    """Stored keys the batch could collide with: the table is scanned, only matches are shuffled."""
+    """Stored keys the batch could collide with, leaving out what this very batch wrote before."""
     from pyspark.errors import AnalysisException
 
     try:
@@ -40,10 +39,7 @@ def _known(spark, path: str, batch: DataFrame, batch_id: int) -> DataFrame:
         return batch.select("original_url", "fingerprint").limit(0)
     if "batch_id" not in table.columns:
         return batch.select("original_url", "fingerprint").limit(0)
-    keys = table.filter(F.col("batch_id") != batch_id).select("original_url", "fingerprint")
-    by_url = keys.join(broadcast_if_small(batch.select("original_url").distinct()), "original_url", "left_semi")
-    by_print = keys.join(broadcast_if_small(batch.select("fingerprint").distinct()), "fingerprint", "left_semi")
-    return by_url.unionByName(by_print)
+    return colliding(table.filter(F.col("batch_id") != batch_id), batch)
 
 
 def stream_drop_reasons(decisions: DataFrame, delay: str = "1 day") -> DataFrame:
