@@ -76,8 +76,14 @@ def fingerprint(title: Column, body: Column, entities: bool = True) -> Column:
 
 
 def fingerprint_of_clean(title: Column, body: Column) -> Column:
-    """The same key when both parts are already clean."""
-    return F.sha2(F.concat(F.lower(title), F.lit("\n"), F.lower(F.substring(body, 1, fv.FINGERPRINT_CHARS))), 256)
+    """The same key when both parts are already clean.
+
+    Never NULL: a nullable join key would make Spark test the whole cleaning chain for NULL first,
+    and so run it twice.
+    """
+    head = F.coalesce(F.lower(title), F.lit(""))
+    start = F.coalesce(F.lower(F.substring(body, 1, fv.FINGERPRINT_CHARS)), F.lit(""))
+    return F.coalesce(F.sha2(F.concat(head, F.lit("\n"), start), 256), F.lit(""))
 
 
 def article_id(url: Column) -> Column:
@@ -98,7 +104,7 @@ def version_set(title: Column) -> Column:
 
 def title_key(title: Column) -> Column:
     """Casefolded headline without anything but letters, digits and underscore."""
-    return F.regexp_replace(F.replace(F.lower(title), F.lit("ß"), F.lit("ss")), NOT_WORD, "")
+    return F.coalesce(F.regexp_replace(F.replace(F.lower(title), F.lit("ß"), F.lit("ss")), NOT_WORD, ""), F.lit(""))
 
 
 def release_series(title: Column) -> Column:

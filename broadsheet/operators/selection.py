@@ -46,10 +46,12 @@ def history_extend(past: DataFrame, attempted: DataFrame) -> DataFrame:
         attempted.select(*cols, F.lit("attempted").alias("kind")))
 
 
-def candidate_features(articles: DataFrame, deep_terms: str = fv.DEEP_TITLE, impact_terms: str = fv.IMPACT_TITLE) -> DataFrame:
-    """The narrow row selection works on; long texts stay behind."""
+def candidate_features(articles: DataFrame, deep_terms: str = fv.DEEP_TITLE, impact_terms: str = fv.IMPACT_TITLE,
+                       extra: tuple[str, ...] = ()) -> DataFrame:
+    """The narrow row selection works on; long texts stay behind. `extra` columns are kept as they are."""
     title, body = F.col("title"), F.col("clean_text")
     return articles.select(
+        *extra,
         "feed_id", "id", "doc_id", "source", "category", "channel", "source_tier", "source_role", "verification_status",
         "published_at", "published_date", "fingerprint", urls.normalized_url(F.col("original_url")).alias("url_key"),
         *lk.event_key(title), ru.deep_read(title, body, F.col("source_tier"), deep_terms).alias("deep"),

@@ -294,7 +294,15 @@ def stage_states(spark, sf):
     return au.stage_states(v.decisions(spark, sf))
 
 
-@query("article_outcomes")
+@query("article_outcomes", v.sql(v.V_DECISIONS, select=f"""
+, a AS (SELECT article_id, bool_or(stage = 'initial_candidate_pool') AS selected, bool_or(stage = 'enrichment' AND status = 'kept') AS submitted, {PUBLISHED} AS published,
+  arg_max(status, seq) FILTER (stage = 'validation') AS validation, arg_max(status, seq) FILTER (stage = 'publishable') AS publishable,
+  arg_max(reason, seq) FILTER (stage = 'publishable') AS pr, arg_max(reason, seq) FILTER (stage = 'enrichment') AS er,
+  arg_max(reason, seq) FILTER (status = 'dropped') AS dr, arg_max(reason, seq) FILTER (status = 'dropped' AND stage <> 'validation') AS xr,
+  arg_max(importance_score, seq) FILTER (stage IN ('final_selection', 'validation')) AS importance_score FROM v_decisions GROUP BY article_id)
+SELECT article_id, CAST(NULL AS BOOLEAN) AS current_run, CAST(NULL AS VARCHAR) AS origin, CAST(NULL AS VARCHAR) AS cache, CAST(NULL AS BOOLEAN) AS cache_reused, selected, submitted,
+  validation, CAST(NULL AS VARCHAR) AS repair, CASE WHEN validation = 'kept' THEN 'accepted' WHEN validation = 'dropped' THEN 'validation_rejected' ELSE er END AS model_result,
+  importance_score, publishable, published, CASE WHEN published THEN pr WHEN publishable = 'kept' THEN NULL WHEN publishable = 'dropped' THEN pr WHEN validation = 'kept' THEN xr ELSE dr END AS final_reason FROM a"""))
 def article_outcomes(spark, sf):
     dec = v.decisions(spark, sf)
     members = dec.groupBy("article_id").agg(

@@ -34,7 +34,9 @@ def unique_articles(spark, sf):
 
 
 def features(spark, sf):
-    return se.candidate_features(unique_articles(spark, sf), v.DEEP, v.IMPACT)
+    """Candidate rows, made narrow before they are deduplicated: no text is shuffled."""
+    rows = se.candidate_features(v.articles(spark, sf), v.DEEP, v.IMPACT, extra=("original_url",))
+    return dd.first_fingerprint(dd.unique_urls(rows, "original_url", "doc_id"), "doc_id").drop("original_url", "first_seq")
 
 
 POOL_SQL = v.sql(v.V_HISTORY, v.V_EDITIONS, select=f"""
