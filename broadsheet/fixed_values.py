@@ -124,6 +124,20 @@ VOID_TAGS = (
 SELECTOR = r"^(?P<tag>[a-z][a-z0-9-]*)?(?:(?P<kind>[.#])(?P<value>[a-zA-Z_][\w-]*))?$"
 TITLE_DATE = r"\b(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*\s+\d{1,2},\s+\d{4}\b"
 
+META_FORWARD = r'(?i)<meta[^>]+(?:property|name)=["\'](?:{name})["\'][^>]+content=["\']([^"\']+)'
+META_BACKWARD = r'(?i)<meta[^>]+content=["\']([^"\']+)["\'][^>]+(?:property|name)=["\'](?:{name})["\']'
+TIME_TAG = r'(?i)<time[^>]+datetime=["\']([^"\']+)'
+DATE_METAS = ("article:published_time", "date", "PubDate")
+
+# --- Fixed values: stored names ------------------------------------------------
+OFF_TOPIC = "radar_terms_absent"
+EDITION_CATEGORY = {1: "ai", 2: "tech", 3: "radar"}
+MODEL_ERROR_TYPE = "DeepSeekError"
+MODEL_HTTP_MESSAGE = r"^DeepSeek HTTP \d{3}$"
+TOO_LARGE_MESSAGE = "Source response exceeds 2 MB"
+REDIRECT_MESSAGE = "Fetch redirected outside allowed HTTPS hosts:"
+UNSURE_SEND = "feishu_send_failed_or_uncertain"
+
 # --- Fixed values: bilingual fact grammar ------------------------------------
 FIELD_NAMES = ("title", "what_happened", "why_it_matters")
 REPAIR_FIELDS = {

@@ -28,7 +28,7 @@ def admit_article(df: DataFrame, topic: Column, blocked: Column | None = None) -
         (body == "", "missing_content"),
         (F.length(body) < 120, "content_shorter_than_120"),
         (blocked, "blocked_content_terms"),
-        (~topic, "radar_terms_absent"),
+        (~topic, fv.OFF_TOPIC),
     ))
 
 

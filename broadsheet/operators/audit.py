@@ -253,7 +253,7 @@ def run_outcome(runs: DataFrame) -> DataFrame:
     code = F.coalesce(failure, F.when(sent | skipped, 0).when(status == "uncertain", 7).otherwise(1))
     exit_reason = first_reason(
         (failure.isNotNull(), "known_failure"), (sent, "delivery_completed"), (skipped, "skip"),
-        (status == "uncertain", "feishu_send_failed_or_uncertain"), (F.lit(True), "unclassified_delivery_failure"))
+        (status == "uncertain", fv.UNSURE_SEND), (F.lit(True), "unclassified_delivery_failure"))
     exit_reason = F.when(exit_reason.isin("known_failure", "skip"), reason).otherwise(exit_reason)
     final = F.when(failure.isNotNull(), "daily_failed").when(sent, "daily_success").when(skipped, "normal_skip").otherwise("daily_failed")
     return runs.select("*", code.cast("int").alias("exit_code"), exit_reason.alias("exit_reason"), final.alias("final_status"))
@@ -270,15 +270,15 @@ def outcome_violations(runs: DataFrame, key: str) -> DataFrame:
 def error_kind(df: DataFrame) -> DataFrame:
     """Failure class from structured error columns (`error_type`, `http_status`, `cause_type`, `message`)."""
     kind, cause, message = F.col("error_type"), F.col("cause_type"), F.coalesce("message", F.lit(""))
-    model_http = (kind == "DeepSeekError") & message.rlike(r"^DeepSeek HTTP \d{3}$")
+    model_http = (kind == fv.MODEL_ERROR_TYPE) & message.rlike(fv.MODEL_HTTP_MESSAGE)
     return df.withColumn("error_kind", first_reason(
         ((kind == "HTTPError") | model_http, "http"),
         (kind == "TimeoutError", "timeout"), (kind == "SSLError", "ssl"),
         ((kind == "URLError") & (cause == "TimeoutError"), "timeout"),
         ((kind == "URLError") & (cause == "SSLError"), "ssl"), (kind == "URLError", "network"),
         (kind.isin("ParseError", "JSONDecodeError"), "parser"),
-        ((kind == "ValueError") & (message == "Source response exceeds 2 MB"), "size_limit"),
-        ((kind == "ValueError") & message.startswith("Fetch redirected outside allowed HTTPS hosts:"), "redirect"),
+        ((kind == "ValueError") & (message == fv.TOO_LARGE_MESSAGE), "size_limit"),
+        ((kind == "ValueError") & message.startswith(fv.REDIRECT_MESSAGE), "redirect"),
         (F.lit(True), "other")))
 
 

@@ -22,7 +22,7 @@ def build_edition(selection: DataFrame, enrichments: DataFrame, keys: list[str],
     listed = items.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("pick", "article_id", *ITEM_FIELDS))).alias("items"))
     titles = F.filter(F.transform(F.slice("items", 1, 3), lambda i: i["title_cn"]), lambda t: F.trim(t) != "")
     return listed.select(
-        *keys, F.lit(version).alias("schema_version"), F.lit("radar").alias("category"),
+        *keys, F.lit(version).alias("schema_version"), F.lit(fv.EDITION_CATEGORY[version]).alias("category"),
         F.size("items").alias("article_count"), ru.daily_mode(F.size("items")).alias("daily_mode"),
         ru.reading_minutes(F.col("items")).alias("estimated_reading_minutes"), titles.alias("highlights"), "items")
 
