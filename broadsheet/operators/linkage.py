@@ -116,8 +116,9 @@ def event_pairs(new: DataFrame, kept: DataFrame, scope: list[str]) -> DataFrame:
     `new` and `kept` hold `scope`, `title_key` and `versions`. Pairs are between distinct
     headlines, never between rows; callers join rows back on the key.
     """
-    new = new.select(*scope, "title_key", "versions").distinct()
-    kept = kept.select(*scope, "title_key", "versions").distinct()
+    # Each side is read twice below, so its distinct headlines are written once.
+    new = stored(new.select(*scope, "title_key", "versions").distinct(), "headlines")
+    kept = stored(kept.select(*scope, "title_key", "versions").distinct(), "headlines")
     sides = new.withColumn("_new", F.lit(1)).unionByName(kept.withColumn("_new", F.lit(0)))
     tokens = sides.select(*scope, "_new", F.explode(character_tokens(F.col("title_key"))).alias("token"))
     # Headlines per scope and character occurrence, counted once and read back.
