@@ -1,12 +1,19 @@
-"""The registered queries of the training-data operators and the SQL that checks them."""
+"""The registered queries of the training-data operators and the SQL that checks them.
+
+Each query applies its operator to its whole table. SQL is given where it can state the whole result; the other queries are
+tested against brute force, exact round trips or held-out labels in `tests/llm`.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from broadsheet.llm.simhash import near_duplicates
+from broadsheet.llm import chunks, decontaminate, licenses, mixing, ngram_lm, quality_neighbours, quality_rules, simhash, token_files, url_rules
+from broadsheet.session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,4 +35,132 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query("op1_simhash_near_dedup")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), size=3, radius=3)
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, radius=3)
+
+
+@query("op2_benchmark_decontamination")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op3_substring_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def quality_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights of labelled documents in the mix: 2 for good ones, a half for bad ones; the others weigh 1."""
+    labels = table(spark, sf_dir, "labels")
+    return labels.select("doc_id", F.when(F.col("quality") == 1, 2.0).when(F.col("quality") == 0, 0.5).alias("weight"))
+
+
+MIX_SQL = r"""
+WITH known AS (SELECT doc_id, max(CASE quality WHEN 1 THEN 2.0 WHEN 0 THEN 0.5 END)::DOUBLE AS weight FROM labels GROUP BY doc_id),
+docs AS (
+  SELECT d.doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         -ln((('0x' || substr(md5(d.doc_id::VARCHAR), 1, 13))::BIGINT + 1) / 4503599627370496.0::DOUBLE) / coalesce(weight, 1.0) AS k
+  FROM documents d LEFT JOIN known USING (doc_id)),
+sizes AS (SELECT source, sum(size)::BIGINT AS source_size FROM docs GROUP BY source),
+weighed AS (
+  SELECT *, row_number() OVER (ORDER BY source IS NULL, source::BLOB) - 1 AS place, source_size * 2.0::DOUBLE AS most,
+         ([3.0, 1.0, 2.0])[(row_number() OVER (ORDER BY source IS NULL, source::BLOB) - 1) % 3 + 1]::DOUBLE AS weight FROM sizes),
+levels AS (
+  SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(most) OVER (ORDER BY most / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0))
+         / sum(weight) OVER (ORDER BY most / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM weighed),
+rising AS (SELECT min_by(level, (most / weight, place)) AS level FROM levels WHERE level <= most / weight),
+aims AS (SELECT source, source_size, CASE WHEN rising.level IS NULL THEN most ELSE least(most, rising.level * weight) END AS target FROM levels, rising),
+ordered AS (
+  SELECT d.*, source_size, target, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS epochs,
+         coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seen
+  FROM docs d JOIN aims a ON d.source IS NOT DISTINCT FROM a.source)
+SELECT doc_id, size, source, source_size, target,
+       (CASE WHEN size > 0 THEN epochs + (seen + size / 2 < target - epochs * source_size)::BIGINT ELSE 0 END * size)::BIGINT AS taken
+FROM ordered
+"""
+
+
+@query("op4_source_mixing", MIX_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.drawn(table(spark, sf_dir, "documents"), quality_weights(spark, sf_dir))
+    return mixed.select("doc_id", "size", "source", "source_size", "target", "taken")
+
+
+HOST_RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+              ("com", "/fr/", "allow"), ("com", "/de/", "block"))
+GLOBS = (("**.spam-farm.**", "block"), ("**.cheap-pills.**", "block"), ("**/**casino**", "block"), ("**/*.exe", "block"), ("**/login**", "block"))
+
+URL_SQL = r"""
+WITH parts AS (
+  SELECT page_id, coalesce(regexp_extract(url, '^(?:.|\n)*?://((?:.|\n)*)$', 1), '') AS rest FROM pages),
+urls AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM parts),
+rules(h, p, verdict) AS (VALUES """ + ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in HOST_RULES) + r"""),
+best AS (
+  SELECT page_id, max_by(h || p, length(h) + length(p)) AS rule, max_by(verdict, length(h) + length(p)) AS verdict
+  FROM urls JOIN rules ON (host = h OR suffix(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id)
+SELECT u.page_id, host, path, rule,
+       coalesce(verdict, CASE WHEN contains('.' || host || path, '.spam-farm.') OR contains('.' || host || path, '.cheap-pills.')
+         OR regexp_matches('.' || host || path, '(?s)/.*casino|/[^/]*\.exe$|/login') THEN 'block' ELSE 'allow' END) AS verdict
+FROM urls u LEFT JOIN best USING (page_id)
+"""
+
+
+@query("op5_url_filters", URL_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = [url_rules.host_rule(*r) for r in HOST_RULES] + [url_rules.glob_rule(*g) for g in GLOBS]
+    return url_rules.judge(table(spark, sf_dir, "pages"), rules)
+
+
+@query("op6_lm_scoring")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.score_files(table(spark, sf_dir, "documents"))
+
+
+def _canonical_sql(text: str) -> str:
+    plain = f"' ' || regexp_replace(regexp_replace(lower({text}), '{licenses.COPYRIGHT_LINE}', ' ', 'g'), '[^a-z0-9]+', '  ', 'g') || ' '"
+    return "trim(" + reduce(lambda c, pair: f"replace({c}, ' {pair[0]} ', ' {pair[1]} ')", licenses.SPELLINGS, plain) + ")"
+
+
+LICENSE_SQL = f"""
+WITH known AS (
+  SELECT md5({_canonical_sql('t')}) AS digest, min(license) AS license
+  FROM (VALUES {', '.join("('" + n + "', '" + t.replace("'", "''") + "')" for n, t in licenses.KNOWN)}) k(license, t) GROUP BY 1),
+units AS (
+  SELECT doc_id, 0 AS line, text AS unit FROM documents WHERE text IS NOT NULL
+  UNION ALL
+  SELECT doc_id, unnest(range(1, len(string_split(text, chr(10))) + 1)), unnest(string_split(text, chr(10))) FROM documents WHERE text IS NOT NULL)
+SELECT doc_id, license, min(line) = 0 AS whole, min(line)::INT AS first_line
+FROM (SELECT doc_id, line, md5({_canonical_sql('unit')}) AS digest FROM units) JOIN known USING (digest) GROUP BY doc_id, license
+"""
+
+
+@query("op7_license_scans", LICENSE_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op8_quality_rules")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules.judge(docs, quality_rules.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op9_quality_classifier")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_neighbours.classify(docs, quality_neighbours.train(docs, table(spark, sf_dir, "labels")))
+
+
+def vocabulary() -> str:
+    """The byte-level vocabulary's file, from the installed package of public tokenizers."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op10_token_files")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "token-files")
+    token_files.write(table(spark, sf_dir, "documents"), folder, vocabulary())
+    return token_files.read(spark, folder, with_ids=False)
