@@ -22,8 +22,9 @@ _32, _SCALE, _MASK = np.uint64(32), np.uint64(SCALE), np.uint64((1 << SCALE) - 1
 
 def frequencies(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(symbols that occur, their shares of 1 << SCALE), each share at least 1."""
-    symbols, counts = np.unique(ids, return_counts=True)
-    total = 1 << SCALE
+    counts = np.bincount(ids)
+    symbols = np.flatnonzero(counts).astype(ids.dtype)
+    counts, total = counts[symbols], 1 << SCALE
     if len(symbols) > total // 2:
         raise ValueError("too many different ids for the table")
     share = np.maximum(1, np.floor(counts * (total / counts.sum()))).astype(np.int64)
@@ -50,20 +51,21 @@ def _encode_equal(ranks: np.ndarray, share: np.ndarray) -> list[tuple[bytes, lis
     blocks, n = ranks.shape
     steps = n // LANES
     lanes = ranks.reshape(blocks, steps, LANES).transpose(1, 0, 2).reshape(steps, blocks * LANES)
-    freq, start = share.astype(np.uint64), _starts(share).astype(np.uint64)
+    freq, start = share.astype(np.uint64)[lanes], _starts(share).astype(np.uint64)[lanes]
+    most = freq << np.uint64(63 - SCALE)  # a state from here on would outgrow LOW << 32
     state = np.full(blocks * LANES, LOW, np.uint64)
     out = np.empty((steps, blocks * LANES), np.uint32)
     sent = np.zeros((steps, blocks * LANES), bool)
     every = CHECKPOINT // LANES
     saved: dict[int, np.ndarray] = {}
     for s in range(steps - 1, -1, -1):
-        f, c = freq[lanes[s]], start[lanes[s]]
-        full = state >= ((LOW >> _SCALE) << _32) * f
+        f = freq[s]
+        full = state >= most[s]
         sent[s] = full
         out[s] = state.astype(np.uint32)
-        state = np.where(full, state >> _32, state)
+        state = state >> (full * _32)
         q = state // f
-        state = (q << _SCALE) + (state - q * f) + c
+        state = (q << _SCALE) + (state - q * f) + start[s]
         if s % every == 0:
             saved[s] = state
     result = []
@@ -76,8 +78,10 @@ def _encode_equal(ranks: np.ndarray, share: np.ndarray) -> list[tuple[bytes, lis
 
 
 def encode(ids: np.ndarray, symbols: np.ndarray, share: np.ndarray) -> list[dict]:
-    """Blocks {n, words, checkpoints, crc} of the ids, which must all be among the symbols."""
-    ranks = np.searchsorted(symbols, ids)
+    """Blocks {n, words, checkpoints, crc} of the ids (at least one), which must all be among the symbols."""
+    rank_of = np.zeros(int(symbols[-1]) + 1, np.int32)
+    rank_of[symbols] = np.arange(len(symbols))
+    ranks = rank_of[ids]
     whole = len(ids) // BLOCK
     parts = _encode_equal(ranks[: whole * BLOCK].reshape(whole, BLOCK), share) if whole else []
     if rest := len(ids) - whole * BLOCK:

@@ -158,3 +158,18 @@ def judge(docs: DataFrame, model: Model, threshold: float = THRESHOLD, id_col: s
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields[:-1])
     return given.mapInArrow(run, kinds + ", n_words long, word_chars long, n_symbols long, n_dup_lines long, "
                             "n_repeat_words long, base_failed boolean, quality double, kept boolean")
+
+
+def kept(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """The documents that `judge` keeps, with all their columns, where they are read."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        for part in slices(batches):
+            stay = []
+            for text in part.column(text_col).to_pylist():
+                n, _, _, _, repeated = base_counts(text)
+                stay.append(n >= MIN_WORDS and 100 * repeated <= MAX_REPEATED * n and model.probability(features(text, known)) >= threshold)
+            yield part.filter(pa.array(stay, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

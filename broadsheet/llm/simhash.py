@@ -122,16 +122,16 @@ def blocks_to_agree(n: int, radius: int, size: int = PIECE) -> int:
     return agree
 
 
-def sharded(prints: DataFrame, radius: int, piece: int = PIECE) -> DataFrame:
-    """Rows (shard, key, i, j, probe, fp...) of distinct fingerprints: a group (shard, key, i, j) holds the tree's
-    fingerprints (probe 0) and those that only search it (probe 1), at most about `piece` of each."""
+def sharded(prints: DataFrame, radius: int, piece: int = PIECE, spread: str = "fp") -> DataFrame:
+    """Rows (shard, key, i, j, probe, fp...): a group (shard, key, i, j) holds the tree's fingerprints (probe 0) and those
+    that only search it (probe 1), at most about `piece` of each. Values of `spread` deal a large shard into pieces."""
     agree = blocks_to_agree(prints.count(), radius, piece)
     keys = F.explode(F.array(*(F.struct(F.lit(t).alias("shard"), F.col("fp").bitwiseAND(F.lit(m)).alias("key"))
                                for t, m in enumerate(masks(radius, agree)))))
     keyed = prints.withColumn("k", keys).select("k.shard", "k.key", *prints.columns)
     large = stored(keyed.groupBy("shard", "key").count().filter(F.col("count") > piece)
                    .select("shard", "key", F.ceil(F.col("count") / piece).cast("int").alias("pieces")), "large-shards")
-    own = F.when(F.col("pieces").isNull(), 0).otherwise(F.pmod(F.xxhash64("fp"), F.col("pieces"))).cast("int")
+    own = F.when(F.col("pieces").isNull(), 0).otherwise(F.pmod(F.xxhash64(spread), F.col("pieces"))).cast("int")
     meets = F.when(F.col("pieces").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("pieces") - 1))
     dealt = keyed.join(large, ["shard", "key"], "left").withColumn("own", own).withColumn("other", F.explode(meets))
     group = ["shard", "key", "i", "j"]

@@ -51,6 +51,53 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b if b in plain else next(others)) for b in range(256)}
 
 
+class _Words(dict):
+    """Packed ids of single words (in the sense of PATTERN), merged by the library's model and remembered."""
+
+    REMEMBERED = 500_000
+
+    def __init__(self, merge, kind: str):
+        super().__init__()
+        self.merge, self.kind = merge, kind
+        self.letters = str.maketrans(_byte_letters())
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= self.REMEMBERED:
+            self.clear()
+        letters = word.encode().decode("latin-1").translate(self.letters)
+        ids = self[word] = packed(self.kind, [t.id for t in self.merge(letters)])
+        return ids
+
+
+class _Pieces(dict):
+    """Packed ids of a blank and what follows it up to the next blank, remembered."""
+
+    REMEMBERED = 500_000
+
+    def __init__(self, words: _Words, split):
+        super().__init__()
+        self.words, self.split = words, split
+
+    def __missing__(self, rest: str) -> bytes:
+        if len(self) >= self.REMEMBERED:
+            self.clear()
+        if rest.isalpha() and max(rest) <= LAST_LATIN:
+            ids = self.words[" " + rest]
+        elif rest[-1:] in {".", ","} and rest[:-1].isalpha() and max(rest) <= LAST_LATIN:
+            ids = self.words[" " + rest[:-1]] + self.words[rest[-1]]
+        else:
+            ids = self.split(" " + rest)
+        self[rest] = ids
+        return ids
+
+
+def packed(kind: str, ids: list[int]) -> bytes:
+    made = array(kind, ids)
+    if sys.byteorder == "big":
+        made.byteswap()
+    return made.tobytes()
+
+
 class Encoder:
     """Ids of whole texts as little-endian unsigned 16- or 32-bit integers, equal to `Tokenizer.encode(text,
     add_special_tokens=False)`.
@@ -60,62 +107,39 @@ class Encoder:
     model and remembered. Pieces that hold a special token or letters beyond Latin are encoded by the library as they are.
     """
 
-    REMEMBERED = 300_000
-
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
-        self.model = self.tokenizer.model
-        self.letters = {b: c for b, c in _byte_letters().items()}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.split = regex.compile(PATTERN).findall
         self.kind = "H" if self.tokenizer.get_vocab_size() <= 65_536 else "I"
         self.dtype = np.dtype("<u2" if self.kind == "H" else "<u4")
-        self.pieces: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.words = _Words(self.tokenizer.model.tokenize, self.kind)
+        self.pieces = _Pieces(self.words, self._split)
 
-    def _packed(self, ids: list[int]) -> bytes:
-        packed = array(self.kind, ids)
-        if sys.byteorder == "big":
-            packed.byteswap()
-        return packed.tobytes()
-
-    def _word(self, word: str) -> bytes:
-        letters = word.encode().decode("latin-1").translate(self.letters)
-        ids = self._packed([t.id for t in self.model.tokenize(letters)])
-        if len(self.words) >= self.REMEMBERED:
-            self.words.clear()
-        self.words[word] = ids
-        return ids
+    def _whole(self, text: str) -> bytes:
+        return packed(self.kind, self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _piece(self, piece: str) -> bytes:
+    def _split(self, piece: str) -> bytes:
         if not piece.isascii() and max(piece) > LAST_LATIN or any(s in piece for s in self.special):
-            return self._packed(self.tokenizer.encode(piece, add_special_tokens=False).ids)
-        known = self.words
-        return b"".join(known.get(w) or self._word(w) for w in self.split(piece))
-
-    @staticmethod
-    def cut(text: str) -> list[str]:
-        if "  " not in text and not _BLANK_BEFORE_SPACE(text) and not text.endswith(" "):
-            first, *rest = text.split(" ")
-            return [first, *(" " + r for r in rest)]
-        return _CUT(text)
+            return self._whole(piece)
+        return b"".join(map(self.words.__getitem__, _WORD(piece)))
 
     def encode(self, text: str) -> bytes:
         if any(" " in s and s in text for s in self.special):
-            return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        known = self.pieces
-        if len(known) >= self.REMEMBERED:
-            known.clear()
-        out = []
-        for piece in self.cut(text):
-            ids = known.get(piece)
-            if ids is None:
-                ids = known[piece] = self._piece(piece)
-            out.append(ids)
-        return b"".join(out)
-
-
-_BLANK_BEFORE_SPACE = re.compile(r" \s").search
+            return self._whole(text)
+        if "  " in text or _SPACE_AFTER_BLANK(text) or text.endswith(" "):
+            return b"".join(map(self._split, _CUT(text)))
+        first, *rest = text.split(" ")  # every blank has another character than white space behind it
+        return self._split(first) + b"".join(map(self.pieces.__getitem__, rest))
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """One encoder for all tasks of a worker, with what it remembers."""
+    return Encoder(path)
+
+
+_WORD = regex.compile(PATTERN).findall
+_SPACE_AFTER_BLANK = re.compile(r" \s").search
 _CUT = re.compile(r"(?= \S)").split
 
 
@@ -172,8 +196,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, end: int = END, segment: i
     empty. Documents of one id may fall into several parts, which keep that order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
-        closing = np.array([end], encoder.dtype).tobytes()
+        coder = encoder(tokenizer)
+        closing = np.array([end], coder.dtype).tobytes()
         part, number = TaskContext.get().partitionId(), 0
         names: list[int | None] = []
         counts: list[int] = []
@@ -181,16 +205,16 @@ def write(docs: DataFrame, path: str, tokenizer: str, end: int = END, segment: i
         total = 0
 
         def segment_row() -> pa.RecordBatch:
-            payload = pack(names, counts, np.frombuffer(b"".join(chunks), encoder.dtype))
+            payload = pack(names, counts, np.frombuffer(b"".join(chunks), coder.dtype))
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([len(names)], pa.int64()),
                  pa.array([total], pa.int64()), pa.array([payload], pa.binary())], ["part", "segment", "n_docs", "n_ids", "payload"])
 
         for piece in slices(batches):
             for name, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()):
-                ids = encoder.encode(text or "") + closing
+                ids = coder.encode(text or "") + closing
                 names.append(name)
-                counts.append(len(ids) // encoder.dtype.itemsize)
+                counts.append(len(ids) // coder.dtype.itemsize)
                 chunks.append(ids)
                 total += counts[-1]
                 if total >= segment:
