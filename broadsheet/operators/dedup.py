@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from broadsheet import fixed_values as fv
 from broadsheet.functions import text as tx
-from broadsheet.session import small
+from broadsheet.session import small, stored
 
 
 def unique_urls(items: DataFrame, url: str, seq: str) -> DataFrame:
@@ -72,9 +72,32 @@ def colliding(known: DataFrame, batch: DataFrame) -> DataFrame:
     return by_url.unionByName(by_print)
 
 
+def first_of_both(batch: DataFrame, seq: str = "seq", url: str = "original_url", key: str = "fingerprint") -> DataFrame:
+    """The rows that are admitted one by one, newest first, if no row admitted before has their URL or fingerprint.
+
+    A row that is dropped for one key bars nobody by its other key, so this is not the first of each. Rows that lead both
+    their URL and their fingerprint are admitted together, what they bar leaves, and the rest is judged again; only rows
+    that collide take part in a further round. `seq` tells rows apart.
+    """
+    rank = F.struct(F.col("published_at").isNull(), -F.unix_micros("published_at"), F.col(seq))
+    batch = stored(batch, "batch")
+    waiting = batch.select(F.col(seq).alias("_seq"), F.col(url).alias("_url"), F.col(key).alias("_key"), rank.alias("_rank"))
+    admitted: DataFrame | None = None
+    while True:
+        by_url = waiting.groupBy("_url").agg(F.min("_rank").alias("_url_first"))
+        by_key = waiting.groupBy("_key").agg(F.min("_rank").alias("_key_first"))
+        leads = waiting.join(by_url, "_url").join(by_key, "_key").filter(
+            (F.col("_rank") == F.col("_url_first")) & (F.col("_rank") == F.col("_key_first")))
+        leads = stored(leads.select("_seq", "_url", "_key"), "admitted")
+        admitted = leads if admitted is None else admitted.unionByName(leads)
+        waiting = stored(waiting.join(leads.select("_url"), "_url", "left_anti").join(leads.select("_key"), "_key", "left_anti"), "waiting")
+        if waiting.isEmpty():
+            return batch.join(admitted.select(F.col("_seq").alias(seq)), seq, "left_semi").select(*batch.columns)
+
+
 def new_articles(batch: DataFrame, known: DataFrame, seq: str = "seq") -> DataFrame:
-    """Rows of a batch that may be appended: unknown to the table and first of their fingerprint."""
-    return first_fingerprint(exclude_known(batch, known), seq)
+    """Rows of a batch that may be appended: unknown to the table, and admitted by URL and fingerprint among themselves."""
+    return first_of_both(exclude_known(batch, known), seq)
 
 
 def unenriched(articles: DataFrame, enrichments: DataFrame, task: str, limit: int, after: Column | None = None,

@@ -282,17 +282,14 @@ def shortlist(pool: DataFrame, keep: int) -> DataFrame:
     """The rows of each edition a picker can need, whatever the number of rows and sources.
 
     The best `keep` rows of each class, of those the best of each group (enough for every blocked
-    source to fill a class), with the true sizes and the edition's number of majors.
+    source to fill a class), with the true sizes and the whole edition's number of majors.
     """
-    pool = pool.withColumn("major", F.col("importance") >= fv.RULES["major_score"]).withColumn(
-        "importance_class", F.floor(F.col("importance") / 10).cast("int"))
     sizes = pool.groupBy(*EDITION, *CLASS).agg(F.count("*").alias("class_size"))
     groups = sizes.groupBy(*EDITION, *GROUP).agg(F.sum(F.least("class_size", F.lit(keep))).alias("group_size"))
-    majors = sizes.filter(F.col("major") & (F.col("level") <= 2)).groupBy(*EDITION).agg(F.sum("class_size").alias("majors"))
     order = [F.desc("score"), F.desc("published_at"), F.desc("id")]
     best = first_per_key(pool, [*EDITION, *CLASS], order, keep)
     best = first_per_key(best, [*EDITION, *GROUP], order, group_keep(keep))
-    return best.join(sizes, [*EDITION, *CLASS]).join(groups, [*EDITION, *GROUP]).join(majors, EDITION, "left").fillna(0, ["majors"])
+    return best.join(sizes, [*EDITION, *CLASS]).join(groups, [*EDITION, *GROUP])
 
 
 def group_keep(keep: int) -> int:
@@ -442,7 +439,11 @@ def _pick_editions(pool: DataFrame, picker, keep: int) -> DataFrame:
     """Run the picker over all editions; editions stopped by a cut class run again on a thinner pool."""
     if keep <= fv.RULES["maximum"]:
         raise ValueError("the shortlist must hold more rows per class than an edition has places")
-    pool = stored(pool, "pool")
+    pool = pool.withColumn("major", F.col("importance") >= fv.RULES["major_score"]).withColumn(
+        "importance_class", F.floor(F.col("importance") / 10).cast("int"))
+    # Counted once: rows that leave the pool between rounds still make the day a major one.
+    majors = pool.groupBy(*EDITION).agg(F.count_if(F.col("major") & (F.col("level") <= 2)).alias("majors"))
+    pool = stored(pool.join(majors, EDITION), "pool")
     done: DataFrame | None = None
     while True:
         result = stored(shortlist(pool, keep).groupBy(*EDITION).applyInPandas(picker, PICK_SCHEMA), "picks")

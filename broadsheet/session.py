@@ -30,9 +30,13 @@ def build_session(app: str = "broadsheet", master: str | None = None, **conf: st
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a private one only where none is configured (tests)."""
+    """The folder that the session names in spark.checkpoint.dir. Without one, a session inside a single process gets a
+    private folder; on a cluster that is an error, since executors would not see it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="broadsheet-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -12,75 +11,30 @@ from pyspark.sql import functions as F
 from broadsheet import fixed_values as fv
 from broadsheet.functions import rules as ru
 from broadsheet.functions import text as tx
+from broadsheet.sources import markup
 
 SELECTOR = re.compile(fv.SELECTOR, re.I)
 
 
-class _Selector:
-    """tag, .class, #id, tag.class or tag#id."""
-
-    def __init__(self, text: str):
-        parts = SELECTOR.fullmatch(text)
-        if not text or parts is None:
-            raise ValueError(f"unsupported selector: {text!r}")
-        self.tag, self.kind, self.value = (parts["tag"] or "").lower(), parts["kind"], parts["value"]
-
-    def fits(self, tag: str, attrs: dict) -> bool:
-        if self.tag and self.tag != tag:
-            return False
-        if self.kind == "#":
-            return attrs.get("id") == self.value
-        return self.kind != "." or self.value in (attrs.get("class") or "").split()
-
-
-class _Text(HTMLParser):
-    """Visible text and first-level headings of one page; the open tags carry what they imply."""
-
-    def __init__(self, include: _Selector | None, exclude: list[_Selector]):
-        super().__init__()
-        self.include, self.exclude = include, exclude
-        self.open: list[tuple[str, bool, bool]] = [("", include is None, False)]
-        self.matched = include is None
-        self.text: list[str] = []
-        self.heading: list[str] = []
-        self.in_heading = False
-
-    def handle_starttag(self, tag, attrs):
-        attrs = dict(attrs)
-        _, wanted, hidden = self.open[-1]
-        wanted = wanted or (self.include is not None and self.include.fits(tag, attrs))
-        hidden = hidden or tag in fv.DROPPED_TAGS or any(s.fits(tag, attrs) for s in self.exclude)
-        self.matched = self.matched or wanted
-        if tag not in fv.VOID_TAGS:
-            self.open.append((tag, wanted, hidden))
-        if tag == "h1" and not hidden:
-            self.in_heading = True
-
-    def handle_endtag(self, tag):
-        places = [n for n, entry in enumerate(self.open) if entry[0] == tag and n]
-        if places:
-            del self.open[places[-1]:]
-        if tag == "h1":
-            self.in_heading = False
-
-    def handle_data(self, data):
-        _, wanted, hidden = self.open[-1]
-        if hidden:
-            return
-        if wanted:
-            self.text.append(data)
-        if self.in_heading:
-            self.heading.append(data)
+def _selects(selector: str):
+    """The test that a selector (tag, .class, #id, tag.class or tag#id) makes of an opening event."""
+    parts = SELECTOR.fullmatch(selector)
+    if not selector or parts is None:
+        raise ValueError(f"unsupported selector: {selector!r}")
+    tag, value = (parts["tag"] or "").lower(), parts["value"]
+    named = {"#": lambda a: a.get("id") == value, ".": lambda a: value in (a.get("class") or "").split(), None: lambda a: True}[parts["kind"]]
+    return lambda e: tag in ("", e.tag) and named(e.attributes)
 
 
 def _visible(batches):
     for pdf in batches:
         rows = []
         for page, include, exclude in zip(pdf["html"], pdf["include"], pdf["exclude"]):
-            parser = _Text(_Selector(include) if include else None, [_Selector(s) for s in (exclude if exclude is not None else [])])
-            parser.feed(page or "")
-            error = None if parser.matched else "include_selector_did_not_match"
-            rows.append((" ".join(parser.text), " ".join(parser.heading), error))
+            left_out = [_selects(s) for s in (exclude if exclude is not None else [])]
+            text, heading, found = markup.visible(
+                markup.events(page), _selects(include) if include else None,
+                lambda e: e.tag in fv.DROPPED_TAGS or any(test(e) for test in left_out), frozenset(fv.VOID_TAGS))
+            rows.append((" ".join(text), " ".join(heading), None if found else "include_selector_did_not_match"))
         walked = pd.DataFrame(rows, columns=["joined_text", "heading", "error"], index=pdf.index)
         yield pd.concat([pdf[["key", "og", "fallback", "date_text"]], walked], axis=1)
 
