@@ -102,7 +102,7 @@ def stream_articles(spark, sf):
     from broadsheet.streaming.articles import stream_articles as intake
 
     folder = new_folder(spark, "articles-stream")
-    art = v.articles(spark, sf).select("doc_id", "original_url", "fingerprint", "published_at", "published_date")
+    art = v.articles(spark, sf, labels=False).select("doc_id", "original_url", "fingerprint", "published_at", "published_date")
     first_per_key(art, ["original_url"], [F.asc("doc_id")]).repartition(4).write.parquet(f"{folder}/in")
     stream = spark.readStream.schema(art.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/in")
     intake(stream, f"{folder}/table", f"{folder}/state", seq="doc_id").awaitTermination()

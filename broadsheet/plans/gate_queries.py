@@ -74,7 +74,7 @@ SELECT doc_id, CASE WHEN source_role = 'discovery' THEN 'discovery_source' WHEN
   WHEN NOT {word_sql(SCAN_SQL, 'the|est')} THEN 'radar_terms_absent' END AS reject_reason FROM v_articles"""))
 def admit_article(spark, sf):
     topic = ru.on_topic(ru.scan_text(F.col("title"), F.col("clean_text")), "the|est", "")
-    return ad.admit_article(v.articles(spark, sf), topic).select("doc_id", "reject_reason")
+    return ad.admit_article(v.articles(spark, sf, labels=False), topic).select("doc_id", "reject_reason")
 
 
 GATE_SQL = f"""CASE WHEN verification_status <> 'source_verified' THEN 'source_not_verified'
@@ -87,7 +87,7 @@ GATE_SQL = f"""CASE WHEN verification_status <> 'source_verified' THEN 'source_n
 
 @query("content_gate", v.sql(v.V_ARTICLES, select=f"SELECT doc_id, {GATE_SQL} AS gate_reason FROM v_articles"))
 def content_gate(spark, sf):
-    return ad.content_gate(v.articles(spark, sf)).select("doc_id", "gate_reason")
+    return ad.content_gate(v.articles(spark, sf, labels=False)).select("doc_id", "gate_reason")
 
 
 @query("index_page_gate", f"""
@@ -103,7 +103,7 @@ def index_page_gate(spark, sf):
 
 @query("editorial_candidate", v.sql(v.V_BASE, select=f"SELECT doc_id FROM v_base WHERE NOT regexp_matches(title, '(?i)({fv.LOW_VALUE_TITLE})')"))
 def editorial_candidate(spark, sf):
-    return v.articles(spark, sf).filter(ru.editorial_candidate(F.col("title"))).select("doc_id")
+    return v.articles(spark, sf, labels=False).filter(ru.editorial_candidate(F.col("title"))).select("doc_id")
 
 
 @query("importance_floor", v.sql(v.V_BASE, select="SELECT doc_id, importance FROM v_base WHERE importance IS NULL OR importance >= 60"))

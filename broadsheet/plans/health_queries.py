@@ -88,7 +88,7 @@ SELECT page_id, n_name AS source, CASE WHEN n = 1 THEN sid END AS inferred_sourc
 FROM pages JOIN nation ON n_nationkey = page_id % 25 LEFT JOIN names ON names.name = n_name"""))
 def unambiguous_source_lookup(spark, sf):
     nation = v.table(spark, sf, "nation")
-    named = v.pages(spark, sf).join(F.broadcast(nation), F.col("page_id") % 25 == F.col("n_nationkey")).select("page_id", F.col("n_name").alias("source"))
+    named = v.pages(spark, sf).join(nation, F.col("page_id") % 25 == F.col("n_nationkey")).select("page_id", F.col("n_name").alias("source"))
     registry = v.sources(spark, sf).select("source_id", F.col("region").alias("name"))
     return he.unambiguous_source_lookup(named, registry).select("page_id", "source", "inferred_source_id")
 

@@ -26,20 +26,20 @@ def stamp_sql(column: str, alias: str | None = None) -> str:
 SELECT original_url, doc_id, title, CAST(first_seq AS BIGINT) AS first_seq FROM (SELECT original_url, doc_id, title,
   row_number() OVER (PARTITION BY original_url ORDER BY doc_id DESC) AS rn, min(doc_id) OVER (PARTITION BY original_url) AS first_seq FROM v_base) WHERE rn = 1"""))
 def unique_urls(spark, sf):
-    items = v.articles(spark, sf).select("original_url", "doc_id", "title")
+    items = v.articles(spark, sf, labels=False).select("original_url", "doc_id", "title")
     return dd.unique_urls(items, "original_url", "doc_id")
 
 
 @query("first_fingerprint", v.sql(v.V_ARTICLES, select="""
 SELECT fingerprint, doc_id FROM (SELECT fingerprint, doc_id, row_number() OVER (PARTITION BY fingerprint ORDER BY published_at DESC, doc_id) AS rn FROM v_articles) WHERE rn = 1"""))
 def first_fingerprint(spark, sf):
-    return dd.first_fingerprint(v.articles(spark, sf).select("fingerprint", "doc_id", "published_at"), "doc_id").select("fingerprint", "doc_id")
+    return dd.first_fingerprint(v.articles(spark, sf, labels=False).select("fingerprint", "doc_id", "published_at"), "doc_id").select("fingerprint", "doc_id")
 
 
 @query("source_cap", v.sql(v.V_BASE, select="""
 SELECT source, doc_id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY published_at DESC, source_tier, doc_id) AS rn FROM v_base) WHERE rn <= 20"""))
 def source_cap(spark, sf):
-    items = v.articles(spark, sf).select("source", "doc_id", "published_at", F.col("source_tier").alias("priority"))
+    items = v.articles(spark, sf, labels=False).select("source", "doc_id", "published_at", F.col("source_tier").alias("priority"))
     return dd.source_cap(items, "doc_id", source="source").select("source", "doc_id")
 
 
@@ -50,7 +50,7 @@ UNION ALL SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY sou
   FROM v_base WHERE source_type = 'official_changelog') WHERE rn = 1"""))
 def collapse_release_bursts(spark, sf):
     doc = F.col("doc_id")
-    kits = v.articles(spark, sf).select(
+    kits = v.articles(spark, sf, labels=False).select(
         "doc_id", "source_type", "published_at", F.col("source_tier").alias("source"),
         F.concat(F.lit("Kit v1."), doc % 3, F.lit("."), doc).alias("title"))
     return dd.collapse_release_bursts(kits, "doc_id").select("doc_id")
@@ -63,7 +63,7 @@ BATCH = "doc_id % 4 = 0"
 SELECT doc_id FROM v_articles WHERE {BATCH} AND original_url NOT IN (SELECT original_url FROM v_articles WHERE doc_id % 2 = 1)
   AND fingerprint NOT IN (SELECT fingerprint FROM v_articles WHERE doc_id % 2 = 1)"""))
 def exclude_known(spark, sf):
-    art = v.articles(spark, sf).select("doc_id", "original_url", "fingerprint")
+    art = v.articles(spark, sf, labels=False).select("doc_id", "original_url", "fingerprint")
     return dd.exclude_known(art.filter(BATCH), art.filter("doc_id % 2 = 1")).select("doc_id")
 
 
@@ -78,7 +78,7 @@ def append_articles(spark, sf):
     from broadsheet.session import new_folder
     from broadsheet.sources import tables as tb
 
-    art = v.articles(spark, sf).select("doc_id", "original_url", "fingerprint", "published_at", "published_date")
+    art = v.articles(spark, sf, labels=False).select("doc_id", "original_url", "fingerprint", "published_at", "published_date")
     path = new_folder(spark, "articles")
     tb.write_articles(art.filter("doc_id % 2 = 1"), path)
     tb.append_articles(art.filter(BATCH), path, seq="doc_id")
@@ -89,32 +89,32 @@ def append_articles(spark, sf):
 SELECT doc_id FROM v_ids WHERE verification_status = 'source_verified' AND published_at >= TIMESTAMP '2024-01-10'
   AND id NOT IN (SELECT article_id FROM v_enrichments WHERE task = '{fv.ENRICH_TASK}') ORDER BY published_at DESC, id LIMIT 200"""))
 def unenriched(spark, sf):
-    art = v.articles(spark, sf).select("doc_id", "id", "published_at", "verification_status")
+    art = v.articles(spark, sf, labels=False).select("doc_id", "id", "published_at", "verification_status")
     after = F.lit("2024-01-10 00:00:00").cast("timestamp")
     return dd.unenriched(art, v.enrichments(spark, sf), fv.ENRICH_TASK, 200, after=after).select("doc_id")
 
 
 @query("with_enrichment", v.sql(v.V_BASE, v.V_ENRICHMENTS, select="SELECT a.doc_id, e.doc_id AS enriched_doc, e.importance_score FROM v_ids a JOIN v_enrichments e ON a.id = e.article_id"))
 def with_enrichment(spark, sf):
-    art = v.articles(spark, sf).select("doc_id", "id")
+    art = v.articles(spark, sf, labels=False).select("doc_id", "id")
     enr = v.enrichments(spark, sf).select("article_id", F.col("doc_id").alias("enriched_doc"), "importance_score")
     return dd.with_enrichment(art, enr).select("doc_id", "enriched_doc", "importance_score")
 
 
 @query("inventory_top", v.sql(v.V_BASE, v.V_ENRICHMENTS, select="SELECT doc_id FROM v_ids WHERE id IN (SELECT article_id FROM v_enrichments) ORDER BY published_at DESC, id, doc_id LIMIT 100"))
 def inventory_top(spark, sf):
-    art = v.articles(spark, sf).select("doc_id", "id", "published_at")
+    art = v.articles(spark, sf, labels=False).select("doc_id", "id", "published_at")
     return dd.inventory_top(art, v.enrichments(spark, sf), 100).select("doc_id")
 
 
 @query("collection_top", v.sql(v.V_BASE, select="SELECT doc_id FROM v_base ORDER BY published_at DESC, doc_id LIMIT 200"))
 def collection_top(spark, sf):
-    return v.articles(spark, sf).orderBy(F.desc("published_at"), "doc_id").limit(fv.RUN_CAP).select("doc_id")
+    return v.articles(spark, sf, labels=False).orderBy(F.desc("published_at"), "doc_id").limit(fv.RUN_CAP).select("doc_id")
 
 
 @query("order_candidates", v.sql(v.V_BASE, select="SELECT doc_id, source_tier AS priority FROM v_base ORDER BY published_at DESC, source_tier, doc_id"))
 def order_candidates(spark, sf):
-    items = v.articles(spark, sf).select("doc_id", "published_at", F.col("source_tier").alias("priority"))
+    items = v.articles(spark, sf, labels=False).select("doc_id", "published_at", F.col("source_tier").alias("priority"))
     return dd.order_candidates(items, "doc_id").select("doc_id", "priority")
 
 
@@ -127,7 +127,7 @@ FROM v_articles a LEFT JOIN prints p USING (feed_id, fingerprint) LEFT JOIN link
 def exclude_published(spark, sf):
     """Key gates of the publication history (fingerprint, URL)."""
     past = v.history(spark, sf).select("feed_id", F.col("id").alias("article_id"), "original_url", "fingerprint", "title", F.col("doc_id").alias("seq"))
-    art = v.articles(spark, sf).select("doc_id", "feed_id", "original_url", "fingerprint", "title")
+    art = v.articles(spark, sf, labels=False).select("doc_id", "feed_id", "original_url", "fingerprint", "title")
     return lk.exclude_published(art, past, ["feed_id"], events=False).select("doc_id", "history_reason", "duplicate_of")
 
 
@@ -135,7 +135,7 @@ def exclude_published(spark, sf):
 def exclude_published_events(spark, sf):
     """The same with the same-event gate: similarity against every published headline of the feed."""
     past = v.history(spark, sf).select("feed_id", F.col("id").alias("article_id"), "original_url", "fingerprint", "title", F.col("doc_id").alias("seq"))
-    art = v.articles(spark, sf).select("doc_id", "feed_id", "original_url", "fingerprint", "title")
+    art = v.articles(spark, sf, labels=False).select("doc_id", "feed_id", "original_url", "fingerprint", "title")
     return lk.exclude_published(art, past, ["feed_id"]).select("doc_id", "history_reason", "duplicate_of")
 
 
@@ -155,7 +155,7 @@ SELECT e.feed_id, strftime(e.report_date, '%Y-%m-%d') AS report_date, a.doc_id F
 def window_join(spark, sf):
     from broadsheet.operators import selection as se
 
-    art = v.articles(spark, sf).select("doc_id", "feed_id", "published_at", "published_date")
+    art = v.articles(spark, sf, labels=False).select("doc_id", "feed_id", "published_at", "published_date")
     out = se.window_join(art, v.editions(spark, sf))
     return out.select("feed_id", F.col("report_date").cast("string"), "doc_id")
 
@@ -166,7 +166,7 @@ SELECT a.doc_id, e.doc_id AS cached_doc, CASE WHEN e.article_id IS NULL THEN 'ca
   WHEN a.original_url <> e.original_url OR a.published_at <> e.published_at OR a.source <> e.source OR a.title <> e.title_original THEN 'cache_metadata_mismatch' END AS cache_reason
 FROM v_ids a LEFT JOIN v_enrichments e ON a.id = e.article_id"""))
 def cache_matches(spark, sf):
-    a = v.articles(spark, sf).select("doc_id", "id", "original_url", "published_at", "source", F.col("title").alias("original_title")).alias("a")
+    a = v.articles(spark, sf, labels=False).select("doc_id", "id", "original_url", "published_at", "source", F.col("title").alias("original_title")).alias("a")
     e = v.enrichments(spark, sf).alias("e")
     return a.join(e, F.col("a.id") == F.col("e.article_id"), "left").select(
         F.col("a.doc_id"), F.col("e.doc_id").alias("cached_doc"), dd.cache_reason().alias("cache_reason"))
@@ -178,7 +178,7 @@ def attach_metadata(spark, sf):
     from broadsheet.functions import text as tx
 
     ids = v.pages(spark, sf).select("page_id", tx.article_id(F.concat(F.lit("https://example.com/"), F.col("page_id"))).alias("article_id"))
-    return au.attach_metadata(ids, v.articles(spark, sf)).select("page_id", "title", "source")
+    return au.attach_metadata(ids, v.articles(spark, sf, labels=False)).select("page_id", "title", "source")
 
 
 @query("batches_of", v.sql(v.V_BATCHES, select="""
@@ -188,9 +188,9 @@ def batches_of(spark, sf):
     return out.select("event_id", "position", "batch")
 
 
-@query("articles_desc", v.sql(v.V_BASE, select="SELECT id AS article_id, " + stamp_sql("published_at") + " FROM v_ids WHERE doc_id % 25 <> 23"))
+@query("articles_desc", v.sql(v.V_BASE, select="SELECT id AS article_id, " + stamp_sql("published_at") + " FROM v_ids"))
 def articles_desc(spark, sf):
-    art = v.articles(spark, sf).filter("doc_id % 25 <> 23").select(F.col("id").alias("article_id"), "published_at")
+    art = v.articles(spark, sf, labels=False).select(F.col("id").alias("article_id"), "published_at")
     return au.articles_desc(art).select("article_id", stamp("published_at"))
 
 
@@ -198,7 +198,7 @@ def articles_desc(spark, sf):
 SELECT doc_id FROM v_base WHERE doc_id % 2 = 0 UNION ALL
 SELECT doc_id FROM v_ids WHERE doc_id % 3 = 0 AND source_tier <= 2 AND id NOT IN (SELECT id FROM v_ids WHERE doc_id % 2 = 0)"""))
 def union_inventory(spark, sf):
-    art = v.articles(spark, sf).select("doc_id", "id", F.when(F.col("source_tier") <= 2, "eligible").otherwise("rejected").alias("reserve_status"))
+    art = v.articles(spark, sf, labels=False).select("doc_id", "id", F.when(F.col("source_tier") <= 2, "eligible").otherwise("rejected").alias("reserve_status"))
     return au.union_inventory(art.filter("doc_id % 2 = 0").select("id", "doc_id"), art.filter("doc_id % 3 = 0")).select("doc_id")
 
 
@@ -206,14 +206,14 @@ def union_inventory(spark, sf):
 SELECT article_id, CASE WHEN article_id IN (SELECT id FROM v_ids WHERE source_tier = 1) THEN 'current_run_inventory' ELSE 'historical_inventory' END AS origin
 FROM (SELECT DISTINCT id AS article_id FROM v_ids WHERE doc_id % 3 = 0)"""))
 def origin_split(spark, sf):
-    art = v.articles(spark, sf).select(F.col("id").alias("article_id"), "doc_id", "source_tier")
+    art = v.articles(spark, sf, labels=False).select(F.col("id").alias("article_id"), "doc_id", "source_tier")
     return au.origin_split(art.filter("doc_id % 3 = 0"), art.filter("source_tier = 1"))
 
 
 @query("lock_assertion", v.sql(v.V_BASE, select="""
 SELECT DISTINCT doc_id FROM v_base WHERE source_tier = 1 AND doc_id NOT IN (SELECT doc_id FROM v_base WHERE doc_id % 16 <> 4)"""))
 def lock_assertion(spark, sf):
-    art = v.articles(spark, sf).select("doc_id", "source_tier")
+    art = v.articles(spark, sf, labels=False).select("doc_id", "source_tier")
     return au.lock_violations(art.filter("source_tier = 1"), art.filter("doc_id % 16 <> 4"), ["doc_id"])
 
 
@@ -222,7 +222,7 @@ SELECT doc_id, 'published' AS kind FROM v_base WHERE doc_id % 13 = 0 UNION ALL S
 def history_extend(spark, sf):
     from broadsheet.operators import selection as se
 
-    art = v.articles(spark, sf).select("doc_id", "original_url", "title", "fingerprint")
+    art = v.articles(spark, sf, labels=False).select("doc_id", "original_url", "title", "fingerprint")
     return se.history_extend(art.filter("doc_id % 13 = 0"), art.filter("doc_id % 11 = 0")).select("doc_id", "kind")
 
 

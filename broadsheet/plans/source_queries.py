@@ -75,7 +75,7 @@ def feed_items(spark, sf):
 
 def _json_captures(spark, sf):
     doc = v.table(spark, sf, "documents")
-    row = F.struct(F.substring("text", 1, 60).alias("title"), F.concat(F.lit("https://example.com/"), F.col("doc_id")).alias("URL"),
+    row = F.struct(F.col("text").alias("title"), F.concat(F.lit("https://example.com/"), F.col("doc_id")).alias("URL"),
                    F.lit("2024-01-05").alias("published_at"))
     rows = doc.select((F.col("doc_id") / 160).cast("bigint").cast("string").alias("source_id"), F.struct("doc_id", row.alias("x")).alias("i"))
     return rows.groupBy("source_id").agg(F.sort_array(F.collect_list("i")).alias("items")).select(
@@ -85,7 +85,7 @@ def _json_captures(spark, sf):
 
 @query("json_index_items", rf"""
 SELECT source_id, reason, count(*) AS n FROM (SELECT CAST(doc_id // 160 AS VARCHAR) AS source_id, CASE WHEN doc_id % 160 >= 100 THEN 'index_cap_100'
- WHEN trim(substr(text, 1, 60)) = '' THEN 'missing_title' WHEN NOT regexp_matches(substr(text, 1, 60), '(?i)(^|[^\p{{L}}\p{{N}}_])({v.TOPIC})([^\p{{L}}\p{{N}}_]|$)') THEN 'radar_terms_absent'
+ WHEN trim(text) = '' THEN 'missing_title' WHEN NOT regexp_matches(text, '(?i)(^|[^\p{{L}}\p{{N}}_])({v.TOPIC})([^\p{{L}}\p{{N}}_]|$)') THEN 'radar_terms_absent'
  ELSE 'parsed_json_item' END AS reason FROM documents) GROUP BY 1, 2""")
 def json_index_items(spark, sf):
     caps = _json_captures(spark, sf)
@@ -95,7 +95,7 @@ def json_index_items(spark, sf):
 @query("board_items")
 def board_items(spark, sf):
     doc = v.table(spark, sf, "documents")
-    row = F.struct(F.substring("text", 1, 60).alias("word"), F.concat(F.lit("https://example.com/"), F.col("doc_id")).alias("rawUrl"))
+    row = F.struct(F.col("text").alias("word"), F.concat(F.lit("https://example.com/"), F.col("doc_id")).alias("rawUrl"))
     rows = doc.select((F.col("doc_id") / 100).cast("bigint").cast("string").alias("source_id"), F.struct("doc_id", row.alias("x")).alias("i"))
     caps = rows.groupBy("source_id").agg(F.sort_array(F.collect_list("i")).alias("items")).select(
         "source_id", F.lit("https://example.com/board").alias("url"),

@@ -20,12 +20,12 @@ PATH = r"regexp_extract({0}, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)', 1)"
 
 @query("clean_text", v.sql(v.V_ARTICLES, select="SELECT doc_id, clean_text, CAST(length(clean_text) AS BIGINT) AS clean_chars FROM v_articles"))
 def clean_text(spark, sf):
-    return v.articles(spark, sf).select("doc_id", "clean_text", F.length("clean_text").cast("bigint").alias("clean_chars"))
+    return v.articles(spark, sf, labels=False).select("doc_id", "clean_text", F.length("clean_text").cast("bigint").alias("clean_chars"))
 
 
 @query("fingerprint", v.sql(v.V_ARTICLES, select="SELECT doc_id, fingerprint FROM v_articles"))
 def fingerprint(spark, sf):
-    return v.articles(spark, sf).select("doc_id", "fingerprint")
+    return v.articles(spark, sf, labels=False).select("doc_id", "fingerprint")
 
 
 @query("article_id", "SELECT page_id, sha256(url) AS article_id FROM pages")
@@ -64,7 +64,7 @@ def classify(spark, sf):
     head = F.concat("title", F.lit(" "), F.substring("raw_text", 1, 600))
     cats = F.array(*[F.lit(c) for c in CLASSES])
     chans = F.array(*[F.lit(c) for c in ("technology", "policy_economy", "future_opportunities")])
-    df = v.articles(spark, sf).select("doc_id", ru.category_of(head, cats).alias("category"))
+    df = v.articles(spark, sf, labels=False).select("doc_id", ru.category_of(head, cats).alias("category"))
     return df.select("*", ru.channel_of(F.col("category"), chans).alias("channel"))
 
 
@@ -81,15 +81,15 @@ def version_set(spark, sf):
 
 @query("title_key", v.sql(v.V_BASE, select=r"SELECT doc_id, regexp_replace(replace(lower(title), 'ß', 'ss'), '[^\p{L}\p{N}_]', '', 'g') AS title_key FROM v_base"))
 def title_key(spark, sf):
-    return v.articles(spark, sf).select("doc_id", tx.title_key(F.col("title")).alias("title_key"))
+    return v.articles(spark, sf, labels=False).select("doc_id", tx.title_key(F.col("title")).alias("title_key"))
 
 
 @query("release_series", r"""
 SELECT doc_id, regexp_replace(lower(t), '(v?\d+\.\d+)\.\d+', '\1', 'g') AS series
-FROM (SELECT doc_id, substr(text, 1, 40) || ' v' || (doc_id % 7) || '.' || (doc_id % 11) || '.' || (doc_id % 3) AS t FROM documents)""")
+FROM (SELECT doc_id, text || ' v' || (doc_id % 7) || '.' || (doc_id % 11) || '.' || (doc_id % 3) AS t FROM documents)""")
 def release_series(spark, sf):
     doc = F.col("doc_id")
-    title = F.concat(F.substring("text", 1, 40), F.lit(" v"), doc % 7, F.lit("."), doc % 11, F.lit("."), doc % 3)
+    title = F.concat(F.col("text"), F.lit(" v"), doc % 7, F.lit("."), doc % 11, F.lit("."), doc % 3)
     return v.table(spark, sf, "documents").select("doc_id", tx.release_series(title).alias("series"))
 
 
@@ -138,7 +138,7 @@ LEVEL_SQL = """CASE WHEN epoch_us({now}) - epoch_us(published_at) < -600000000 T
 
 @query("deep_read", v.sql(v.V_ARTICLES, select=f"SELECT doc_id, {DEEP_SQL} AS deep FROM v_articles"))
 def deep_read(spark, sf):
-    return v.articles(spark, sf).select("doc_id", ru.deep_read(
+    return v.articles(spark, sf, labels=False).select("doc_id", ru.deep_read(
         F.col("title"), F.col("clean_text"), F.col("source_tier"), v.DEEP).alias("deep"))
 
 
@@ -146,7 +146,7 @@ def deep_read(spark, sf):
 SELECT doc_id, CAST({LEVEL_SQL.format(now=NOW_SQL)} AS INTEGER) AS supply_level FROM (SELECT *, {DEEP_SQL} AS deep FROM v_articles)"""))
 def supply_level(spark, sf):
     deep = ru.deep_read(F.col("title"), F.col("clean_text"), F.col("source_tier"), v.DEEP)
-    return v.articles(spark, sf).select("doc_id", ru.supply_level(
+    return v.articles(spark, sf, labels=False).select("doc_id", ru.supply_level(
         F.col("published_at"), F.col("source_tier"), deep, _now()).alias("supply_level"))
 
 
@@ -226,7 +226,7 @@ SELECT doc_id, CASE WHEN d <= 3 THEN '1-3d' WHEN d <= 7 THEN '3-7d' WHEN d <= 30
 FROM (SELECT doc_id, (epoch_us(TIMESTAMP '2024-02-05') - epoch_us(published_at)) / 86400000000.0 AS d FROM v_base)""".replace("SELECT doc_id, CASE", "WITH " + v.V_BASE + " SELECT doc_id, CASE", 1))
 def age_band(spark, sf):
     now = F.lit("2024-02-05 00:00:00").cast("timestamp")
-    return v.articles(spark, sf).select("doc_id", ru.age_band(ru.age_days(F.col("published_at"), now)).alias("band"))
+    return v.articles(spark, sf, labels=False).select("doc_id", ru.age_band(ru.age_days(F.col("published_at"), now)).alias("band"))
 
 
 

@@ -34,10 +34,13 @@ def _pick(values, index):
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
 
-def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as articles; cleaning and hashing cost nothing where they are not selected."""
+def articles(spark: SparkSession, sf_dir: str, labels: bool = True) -> DataFrame:
+    """Documents as articles; cleaning and hashing cost nothing where they are not selected. Only `importance` needs the
+    labels, whose join shuffles the texts; without `labels` there is neither."""
     doc = F.col("doc_id")
-    df = spread(table(spark, sf_dir, "documents")).join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    df = spread(table(spark, sf_dir, "documents"))
+    if labels:
+        df = df.join(table(spark, sf_dir, "labels"), "doc_id", "left")
     url_id = F.when(doc % 25 == 24, doc - 1).otherwise(doc)
     df = df.select(
         doc,
@@ -53,7 +56,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(doc % 5 == 0, "official_changelog").otherwise("official_blog").alias("source_type"),
         _pick(("ai", "chips", "science", "software", "policy"), doc % 5).alias("category"),
         F.when(doc % 50 == 49, "unverified").otherwise("source_verified").alias("verification_status"),
-        (40 + 45 * F.col("quality") + doc % 11).cast("int").alias("importance"),
+        *[(40 + 45 * F.col("quality") + doc % 11).cast("int").alias("importance")] * labels,
     )
     return df.select(
         "*",
@@ -66,13 +69,13 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = articles(spark, sf_dir).filter(F.col("doc_id") % 13 == 0)
+    df = articles(spark, sf_dir, labels=False).filter(F.col("doc_id") % 13 == 0)
     return df.withColumn("report_date", F.date_add("published_date", 1))
 
 
 def editions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One edition per feed and day of the covered month, derived from the articles."""
-    feeds = articles(spark, sf_dir).select("feed_id").distinct()
+    feeds = articles(spark, sf_dir, labels=False).select("feed_id").distinct()
     days = F.expr("explode(sequence(date '2024-01-02', date '2024-01-31', interval 1 day))")
     return feeds.select("feed_id", days.alias("report_date")).withColumn(
         "now_ts", F.col("report_date").cast("timestamp"))
@@ -169,7 +172,7 @@ def dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
-    return table(spark, sf_dir, "supplier").join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey")).select(
+    return table(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.col("s_suppkey").alias("source_id"), F.col("s_name").alias("name"), F.col("n_name").alias("region"),
         (1 + F.col("s_suppkey") % 4).cast("int").alias("tier"))
 
