@@ -17,18 +17,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.llm.features import Sparse, char_buckets, counted, labelled, remainder, sample, word_buckets
-from broadsheet.llm.words import WordHashes, slices
+from broadsheet.llm.words import WordHashes, mixed, slices
 
-BUCKETS = 8_192  # an eighth for words, the rest for runs of bytes
+BUCKETS = 8_192  # a quarter for words, the rest for runs of bytes
 SAMPLE = 3_000
 RANK = 64
 NEAREST = 25
 THRESHOLD = 0.3
 
 
+LAGS, LEVELS, WEIGHT = 16, (0.1, 0.2, 0.4), 50
+
+
+def repetition(h: np.ndarray) -> np.ndarray:
+    """Terms that say at which distances many words return: one for each distance and share reached, WEIGHT times."""
+    marks = [lag * len(LEVELS) + k for lag in range(1, LAGS + 1) if len(h) > lag
+             for k, level in enumerate(LEVELS) if (h[lag:] == h[:-lag]).mean() >= level]
+    return mixed(np.repeat(np.array(marks, np.uint64), WEIGHT))
+
+
 def features(text: str, known: WordHashes) -> Sparse:
+    """Words, runs of three bytes, and repetition."""
     raw, words = text.encode(), BUCKETS // 4
-    return counted(np.concatenate([word_buckets(known, raw.split(), words), char_buckets(raw, BUCKETS - words) + np.uint64(words)]))
+    tokens = raw.split()
+    return counted(np.concatenate([word_buckets(known, tokens, words), repetition(known.of(tokens)) % np.uint64(words),
+                                   char_buckets(raw, BUCKETS - words) + np.uint64(words)]))
 
 
 @dataclass
