@@ -179,9 +179,11 @@ DATE_EN_PAIR = (
 DATE_EN_MONTH = r"\b" + MONTH_NAMES + r"\.?\s+(?P<year>20\d{2})\b"
 CLOCK_TIME = r"(?<!\d)(?:[01]?\d|2[0-3]):[0-5]\d(?!\d)"
 VERSION_LITERAL = r"(?<![A-Za-z0-9_.])v?\d+(?:\.\d+){1,3}(?![A-Za-z0-9_]|\.\d)"
+# What follows a dotted number that is no version.
 NOT_A_VERSION = (
-    r"(?:\s*(?:thousand|million|billion|trillion)\b|\s*(?:km\s*/\s*s(?![A-Za-z])|公里\s*/\s*秒|千米\s*/\s*秒)|"
-    r"[%％]|\s*(?:[xX]|倍|千|万|亿|万亿|百万|千万))"
+    r"\s*(?:thousand|million|billion|trillion)\b",
+    r"\s*(?:km\s*/\s*s(?![A-Za-z])|公里\s*/\s*秒|千米\s*/\s*秒)",
+    r"[%％]|\s*(?:[xX]|倍|千|万|亿|万亿|百万|千万)",
 )
 NUMBER_EN = (
     r"(?<![\w.])(?P<value>\d{1,3}(?:,\d{3})+|\d+(?:\.\d+)?)\s*"
@@ -193,14 +195,18 @@ NUMBER_ZH = (
 )
 TRAILING_SCALE = r"\s*(thousand|million|billion|trillion)\b"
 ORDINAL_EN = r"(?<![\w.])(?P<value>\d{1,3}(?:,\d{3})+|\d+)(?:st|nd|rd|th)\b"
-NUMBER_NAMES = "one|two|three|four|five|six|seven|eight|nine|ten|eleven|twelve"
-COUNTED_EN = r"\b(?P<word>" + NUMBER_NAMES + r")\s*-?\s*(?:loops?|steps?|particles?)\b"
-SCALED_EN = r"\b(?P<word>" + NUMBER_NAMES + r")\s+(?P<scale>thousand|million|billion|trillion)\b"
+NUMBER_WORDS = {
+    "one": 1, "two": 2, "three": 3, "four": 4, "five": 5, "six": 6, "seven": 7, "eight": 8, "nine": 9, "ten": 10, "eleven": 11,
+    "twelve": 12,
+}
+COUNTED_EN = r"\b(?P<word>" + "|".join(NUMBER_WORDS) + r")\s*-?\s*(?:loops?|steps?|particles?)\b"
+SCALED_EN = r"\b(?P<word>" + "|".join(NUMBER_WORDS) + r")\s+(?P<scale>thousand|million|billion|trillion)\b"
 COUNTED_ZH = r"(?P<word>[二两三四五六七八九十])(?=(?:圈|粒子|维|倍|毫秒|参数|步))"
 ZH_DIGITS = {"一": 1, "二": 2, "两": 2, "三": 3, "四": 4, "五": 5, "六": 6, "七": 7, "八": 8, "九": 9, "十": 10}
-UNIT_POWERS = {
-    "thousand": 3, "million": 6, "billion": 9, "trillion": 12, "k": 3, "m": 6, "b": 9,
-    "千": 3, "万": 4, "百万": 6, "千万": 7, "亿": 8, "万亿": 12,
+UNIT_MULTIPLIERS = {
+    "thousand": 1_000, "million": 1_000_000, "billion": 1_000_000_000, "trillion": 1_000_000_000_000,
+    "k": 1_000, "m": 1_000_000, "b": 1_000_000_000,
+    "千": 1_000, "万": 10_000, "百万": 1_000_000, "千万": 10_000_000, "亿": 100_000_000, "万亿": 1_000_000_000_000,
 }
 PERCENT_UNITS = ("%", "％", "percent")
 MULTIPLE_UNITS = ("x", "倍")
@@ -243,16 +249,33 @@ CANDIDATE_STAGES = (
     "initial_candidate_pool", "initial_selection", "candidate_pool", "initial_freshness",
     "initial_quality_filter", "initial_historical_dedup",
 )
-# Stages whose drop newly rules out each view stage; later view stages inherit the earlier ones.
-TERMINAL_BEFORE = (
-    ("normalized", ("source_url_dedup", "feed_freshness", "source_cap")),
-    ("candidate", ("normalization", "extracted_freshness", "release_burst_dedup", "collection_cap",
-                   "content_gate")),
-    ("enrichment", ("initial_freshness", "initial_quality_filter", "initial_historical_dedup",
-                    "initial_selection")),
-    ("validation", ("enrichment", "token_budget")),
-    ("publishable", ("validation", "repair")),
-)
+# Stages whose drop rules out each view stage.
+TERMINAL_BEFORE = {
+    "normalized": (
+        "source_url_dedup", "feed_freshness", "source_cap",
+    ),
+    "candidate": (
+        "source_url_dedup", "feed_freshness", "source_cap", "normalization", "extracted_freshness",
+        "release_burst_dedup", "collection_cap", "content_gate",
+    ),
+    "enrichment": (
+        "source_url_dedup", "feed_freshness", "source_cap", "normalization", "extracted_freshness",
+        "release_burst_dedup", "collection_cap", "content_gate", "initial_freshness",
+        "initial_quality_filter", "initial_historical_dedup", "initial_selection",
+    ),
+    "validation": (
+        "source_url_dedup", "feed_freshness", "source_cap", "normalization", "extracted_freshness",
+        "release_burst_dedup", "collection_cap", "content_gate", "initial_freshness",
+        "initial_quality_filter", "initial_historical_dedup", "initial_selection", "enrichment",
+        "token_budget",
+    ),
+    "publishable": (
+        "source_url_dedup", "feed_freshness", "source_cap", "normalization", "extracted_freshness",
+        "release_burst_dedup", "collection_cap", "content_gate", "initial_freshness",
+        "initial_quality_filter", "initial_historical_dedup", "initial_selection", "enrichment",
+        "token_budget", "validation", "repair",
+    ),
+}
 SUPPLY_FIELDS = (
     "supply_layer", "is_today", "locked_today", "historical_age_days", "selected_as_fallback",
     "fallback_priority", "reserve_type", "reserve_status", "reserve_reason", "policy_validity",

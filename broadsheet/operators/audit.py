@@ -95,9 +95,7 @@ def stage_states(decisions: DataFrame) -> DataFrame:
         F.max_by(shown, F.when(_view_stage_match(s), F.col("seq"))).alias(f"last_{s}") for s in fv.VIEW_STAGES]
     aggregates.append(F.bool_or((stage == "inventory") & (reason == "historical_inventory")).alias("historical"))
     aggregates.append(F.bool_or((stage == "repair") & (reason == "repair_failed")).alias("repair_failed"))
-    terminal: list[str] = []
-    for view_stage, added in fv.TERMINAL_BEFORE:
-        terminal += added
+    for view_stage, terminal in fv.TERMINAL_BEFORE.items():
         hit = (status == "dropped") & (stage.startswith("adapter_") | stage.isin(*terminal))
         aggregates.append(F.bool_or(hit).alias(f"blocked_{view_stage}"))
     aggregates.append(F.bool_or((status == "dropped") & stage.startswith("adapter_")).alias("blocked_collected"))
