@@ -257,6 +257,15 @@ def run_outcome(runs: DataFrame) -> DataFrame:
     return runs.select("*", code.cast("int").alias("exit_code"), exit_reason.alias("exit_reason"), final.alias("final_status"))
 
 
+def exception_outcome(runs: DataFrame) -> DataFrame:
+    """Exit class of runs that ended in an exception: a failed model request, else the stage it names (`failure_stage`)."""
+    stage = F.concat(F.coalesce("failure_stage", F.lit("unhandled")), F.lit("_failed"))
+    reason = F.when(F.coalesce("model_request_failed", F.lit(False)), "model_request_failed").otherwise(stage)
+    code = F.create_map(*[F.lit(x) for pair in fv.FAILURE_CODES.items() for x in pair])[reason]
+    return runs.select("*", F.coalesce(code, F.lit(1)).cast("int").alias("exit_code"),
+                       F.when(code.isNull(), "unhandled_failure").otherwise(reason).alias("exit_reason"), F.lit("daily_failed").alias("final_status"))
+
+
 def outcome_violations(runs: DataFrame, key: str) -> DataFrame:
     """Recorded outcomes whose status is unknown or contradicts the exit code."""
     known = F.col("final_status").isin("daily_success", "normal_skip", "daily_failed")

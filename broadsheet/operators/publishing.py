@@ -12,10 +12,12 @@ ITEM_FIELDS = ("title_en", "title_cn", "title_original", "what_happened_en", "wh
                "why_it_matters", "source", "published_at", "original_url", "category", "importance_score")
 
 
-def build_edition(selection: DataFrame, enrichments: DataFrame, keys: list[str], version: int = 3) -> DataFrame:
+def build_edition(selection: DataFrame, enrichments: DataFrame, keys: list[str], version: int = 3,
+                  published_at: Column | None = None) -> DataFrame:
     """One document per edition: items in pick order, highlights, reading time, mode.
 
-    `selection` holds `keys`, `id`, `pick`; an edition has at most 18 items by rule.
+    `selection` holds `keys`, `id`, `pick`; an edition has at most 18 items by rule. `published_at` is the edition's own
+    time as ISO text, a column of the keys.
     """
     chosen = selection.select(*keys, F.col("id").alias("article_id"), "pick")
     items = chosen.join(enrichments.select("article_id", *ITEM_FIELDS), "article_id")
@@ -23,7 +25,7 @@ def build_edition(selection: DataFrame, enrichments: DataFrame, keys: list[str],
     titles = F.filter(F.transform(F.slice("items", 1, 3), lambda i: i["title_cn"]), lambda t: F.trim(t) != "")
     return listed.select(
         *keys, F.lit(version).alias("schema_version"), F.lit(fv.EDITION_CATEGORY[version]).alias("category"),
-        F.size("items").alias("article_count"), ru.daily_mode(F.size("items")).alias("daily_mode"),
+        (F.lit(None) if published_at is None else published_at).cast("string").alias("published_at"), F.size("items").alias("article_count"), ru.daily_mode(F.size("items")).alias("daily_mode"),
         ru.reading_minutes(F.col("items")).alias("estimated_reading_minutes"), titles.alias("highlights"), "items")
 
 
@@ -43,13 +45,19 @@ def write_editions(editions: DataFrame, path: str) -> None:
 
 
 def read_history(spark, path: str, schema, as_of: Column) -> DataFrame:
-    """Items of all editions up to a local date, with their edition's date; later dates are pruned."""
+    """Items of all editions up to a local date, with their edition's columns (named `edition_...` where an item has one
+    of that name); later dates are pruned."""
     editions = spark.read.schema(schema).json(path).filter(F.col("report_date") <= as_of)
-    rest = [c for c in editions.columns if c not in ("items", "report_date")]
-    return editions.select("report_date", *rest, F.explode("items").alias("item")).select("report_date", *rest, "item.*")
+    inner = editions.schema["items"].dataType.elementType.names
+    rest = {c: f"edition_{c}" if c in inner else c for c in editions.columns if c not in ("items", "report_date")}
+    flat = editions.select("report_date", *[F.col(c).alias(n) for c, n in rest.items()], F.explode("items").alias("item"))
+    return flat.select("report_date", *rest.values(), "item.*")
 
 
-def edition_digest(editions: DataFrame, fields: list[str]) -> Column:
+DIGEST_FIELDS = ("schema_version", "report_date", "published_at", "article_count", "items")
+
+
+def edition_digest(editions: DataFrame, fields=DIGEST_FIELDS) -> Column:
     """First 32 hex digits of the SHA-256 of the sorted-key compact JSON of the given fields."""
     ordered = F.struct(*[_sorted(F.col(f), editions.schema[f].dataType).alias(f) for f in sorted(fields)])
     return F.substring(F.sha2(F.to_json(ordered, {"ignoreNullFields": "false"}), 256), 1, 32)
@@ -82,7 +90,8 @@ PAIR_FIELDS = ("title_en", "title_cn", "what_happened_en", "what_happened", "why
 
 
 def merge_pairs_by_id(editions: DataFrame, pairs: DataFrame, keys: list[str]) -> DataFrame:
-    """Bilingual pairs applied to legacy items by position; only editions with exactly one pair per item change."""
+    """Bilingual pairs applied to legacy items by position; the editions with exactly one pair per item, with all their
+    columns."""
     rows = editions.select(*keys, F.posexplode("items").alias("pos", "item"))
     sizes = editions.select(*keys, F.size("items").alias("_size"))
     good = pairs.groupBy(*keys).agg(F.count("*").alias("_pairs"), F.countDistinct("pos").alias("_distinct"),
@@ -92,5 +101,7 @@ def merge_pairs_by_id(editions: DataFrame, pairs: DataFrame, keys: list[str]) ->
     merged = rows.join(pairs.join(good.select(*keys), keys, "left_semi"), [*keys, "pos"])
     keep = [c for c in editions.schema["items"].dataType.elementType.names if c not in PAIR_FIELDS]
     item = F.struct(*[F.col(f"item.{c}").alias(c) for c in keep], *[F.col(c) for c in PAIR_FIELDS])
-    return merged.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("pos", item.alias("item")))).alias("_r")).select(
+    changed = merged.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("pos", item.alias("item")))).alias("_r")).select(
         *keys, F.lit(3).alias("schema_version"), F.transform("_r", lambda r: r["item"]).alias("items"))
+    kept = [c for c in editions.columns if c not in (*keys, "schema_version", "items")]
+    return editions.select(*keys, *kept).join(changed, keys)

@@ -398,6 +398,31 @@ def run_outcome(spark, sf):
     return au.run_outcome(runs).select("o_orderkey", "exit_code", "exit_reason", "final_status")
 
 
+STAGES_SQL = "CASE WHEN o_orderpriority = '1-URGENT' THEN 'collection' WHEN o_orderpriority = '2-HIGH' THEN 'publish' WHEN o_orderpriority = '3-MEDIUM' THEN 'unheard' WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'persistence' END"
+
+
+@query("exception_outcome", f"""
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 3 WHEN s = 'collection' THEN 2 WHEN s = 'publish' THEN 5 WHEN s = 'persistence' THEN 9 ELSE 1 END AS exit_code,
+ CASE WHEN o_orderstatus = 'F' THEN 'model_request_failed' WHEN s IN ('collection', 'publish', 'persistence') THEN s || '_failed' ELSE 'unhandled_failure' END AS exit_reason
+FROM (SELECT o_orderkey, o_orderstatus, {STAGES_SQL} AS s FROM orders)""")
+def exception_outcome(spark, sf):
+    runs = v.table(spark, sf, "orders").select("o_orderkey", F.when(F.col("o_orderstatus") == "F", True).alias("model_request_failed"),
+                                               F.expr(STAGES_SQL).alias("failure_stage"))
+    return au.exception_outcome(runs).select("o_orderkey", "exit_code", "exit_reason")
+
+
+@query("outcome_violations", """
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'invalid_final_status' ELSE 'inconsistent_exit_code' END AS rule FROM orders
+WHERE o_orderstatus = 'P' OR length(o_orderpriority) % 2 = CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END""")
+def outcome_violations(spark, sf):
+    """Statuses as recorded in the orders against exit codes that come from another column."""
+    state = F.col("o_orderstatus")
+    status = F.when(state == "O", "daily_success").when(state == "F", "daily_failed").otherwise("pending")
+    code = F.length("o_orderpriority") % 2
+    runs = v.table(spark, sf, "orders").select("o_orderkey", status.alias("final_status"), code.cast("int").alias("exit_code"))
+    return au.outcome_violations(runs, "o_orderkey").select("o_orderkey", "rule")
+
+
 @query("error_kind", """
 SELECT event_id, CASE event_id % 7 WHEN 0 THEN 'http' WHEN 1 THEN 'timeout' WHEN 2 THEN 'ssl' WHEN 3 THEN 'network' WHEN 4 THEN 'parser' WHEN 5 THEN 'size_limit' ELSE 'other' END AS error_kind
 FROM events WHERE event_type = 'error'""")

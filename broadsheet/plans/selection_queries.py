@@ -260,7 +260,8 @@ def _edition_items(spark, sf):
 
 def _editions(spark, sf):
     enr = dd.first_per_key(v.enrichments(spark, sf), ["article_id"], [F.desc("doc_id")])
-    return pb.build_edition(_edition_items(spark, sf), enr, se.EDITION)
+    published = F.date_format("report_date", "yyyy-MM-dd'T'08:00:00+00:00")
+    return pb.build_edition(_edition_items(spark, sf), enr, se.EDITION, published_at=published)
 
 
 EDITION_SQL = v.sql(v.V_BASE, v.V_ENRICHMENTS, select="""
@@ -316,7 +317,7 @@ def report_checks(spark, sf):
 @query("edition_digest")
 def edition_digest(spark, sf):
     editions = _editions(spark, sf)
-    return editions.select("feed_id", day(), pb.edition_digest(editions, ["schema_version", "report_date", "article_count", "items"]).alias("digest"))
+    return editions.select("feed_id", day(), pb.edition_digest(editions).alias("digest"))
 
 
 @query("shortfall_reason", """
@@ -331,3 +332,17 @@ def shortfall_reason(spark, sf):
         F.count_if((kind == "error") & (value > 80)).alias("rejected"))
     runs = runs.select("*", (F.col("user_id") % 7 == 0).alias("fill_stopped"), F.when(F.col("user_id") % 5 == 0, "graceful_stop").otherwise("normal").alias("budget_status"))
     return pb.shortfall_reason(runs).select("user_id", "daily_mode", "degraded_reason")
+
+
+@query("merge_pairs", EDITION_SQL + f"""
+ SELECT ed.feed_id, {DAY_SQL.replace('report_date,', 'ed.report_date,')}, article_count, arg_min(title_en || ' (en)', pick) AS first_title,
+ CAST(count(*) AS INTEGER) AS n FROM ed JOIN it USING (feed_id, report_date)
+ WHERE article_count % 3 <> 0 GROUP BY ed.feed_id, ed.report_date, article_count""")
+def merge_pairs(spark, sf):
+    """Renderings applied by position; editions whose size is divisible by three lack the first one and stay out."""
+    editions = _editions(spark, sf)
+    rows = editions.select(*se.EDITION, "article_count", F.posexplode("items").alias("pos", "i"))
+    pairs = rows.filter("article_count % 3 <> 0 OR pos > 0").select(
+        *se.EDITION, "pos", F.concat("i.title_en", F.lit(" (en)")).alias("title_en"), *[f"i.{c}" for c in pb.PAIR_FIELDS if c != "title_en"])
+    merged = pb.merge_pairs_by_id(editions, pairs, se.EDITION)
+    return merged.select("feed_id", day(), "article_count", F.col("items")[0]["title_en"].alias("first_title"), F.size("items").alias("n"))
