@@ -63,8 +63,7 @@ def test_empty_table(spark):
     assert df.columns == ["doc_id", "fingerprint", "component_id"] and df.count() == 0
 
 
-@pytest.mark.parametrize("radius", [3, 7])
-@pytest.mark.parametrize("piece", [8, 1024])
+@pytest.mark.parametrize("radius, piece", [(3, 8), (7, 1024)])
 def test_large_shards_are_dealt_and_lose_no_link(spark, radius, piece):
     rng = np.random.default_rng(1)
     base = rng.integers(0, 2**63, 12, dtype=np.uint64)
