@@ -27,7 +27,13 @@ def _joined(kind, language="en"):
 query("time_set", r"""
 SELECT doc_id, array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(regexp_replace(' ' || text || ' ', '(\d)(\D)', '\1\2\2', 'g'),
  '(^|\D)((?:[01]?\d|2[0-3]):[0-5]\d)(\D|$)', 2), lambda t: t))), ',') AS times FROM documents""")(_joined("times"))
-for _kind, _name in (("numbers", "number_set"), ("dates", "date_set"), ("versions", "version_literals"), ("availability", "availability_set")):
+# Every border is doubled, so that two neighbouring terms do not share one.
+query("availability_set", r"""
+SELECT doc_id, array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(' ' || regexp_replace(lower(text), '([^\p{L}\p{N}_])', '\1\1', 'g') || ' ',
+ '[^\p{L}\p{N}_](does  not  support|not  supported|unavailable|available|supports?|released|release|ships?|will  release|planned)[^\p{L}\p{N}_]', 1),
+ lambda t: CASE WHEN t IN ('does  not  support', 'not  supported', 'unavailable') THEN 'unsupported' WHEN t IN ('will  release', 'planned') THEN 'planned'
+  WHEN t IN ('release', 'released', 'ship', 'ships') THEN 'released' ELSE 'supported' END))), ',') AS availability FROM documents""")(_joined("availability"))
+for _kind, _name in (("numbers", "number_set"), ("dates", "date_set"), ("versions", "version_literals")):
     query(_name)(_joined(_kind))
 query("number_set_zh")(_joined("numbers", "zh"))
 
