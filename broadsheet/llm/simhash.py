@@ -26,15 +26,20 @@ from broadsheet.session import stored
 PIECE = 1024  # fingerprints of one tree, and of one set of probes
 
 
-def fingerprint(items: list[bytes]) -> int:
-    """64 bits; a bit is 1 if it is set in over half the XXH64 hashes of the items. Zero for no item."""
-    if not items:
+def folded(h: np.ndarray) -> int:
+    """64 bits; a bit is 1 if it is set in over half the hashes. Zero for none."""
+    if not len(h):
         return 0
-    bits = np.unpackbits(hashes(items).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    ones = bits.sum(axis=0, dtype=np.int64) * 2 > len(items)
+    bits = np.unpackbits(np.ascontiguousarray(h).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    ones = bits.sum(axis=0, dtype=np.int64) * 2 > len(h)
     return int(np.packbits(ones, bitorder="little").view(np.int64)[0])
 
 
+def fingerprint(items: list[bytes]) -> int:
+    """The fingerprint of the items' XXH64 hashes."""
+    return folded(hashes(items))
+
+
 def fingerprints(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text",
                  features: Callable[[list[bytes]], list[bytes]] | None = None) -> DataFrame:
     """(id, fp) for every row: the fingerprint of the text's shingles of `size` words, or of what `features` makes of its
