@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from broadsheet.llm.words import SEED, WordHashes, mixed, slices, words
+from broadsheet.session import stored
 
 GEAR_WORDS = 4  # words that a hash depends on
 SPAN = 12  # words within which a boundary lies
@@ -92,7 +93,8 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str =
     """
     pieces = chunks(docs, id_col, text_col)
     holders = pieces.groupBy("digest").agg(F.min("id").alias("first_doc"), F.max("id").alias("last_doc"))
-    shared = holders.filter("first_doc < last_doc").select("digest", "first_doc")
+    # written, so that the join below shuffles both sides for itself and hot digests can be split
+    shared = stored(holders.filter("first_doc < last_doc").select("digest", "first_doc"), "shared-digests")
     copies = pieces.join(shared, "digest").filter("id > first_doc").select("id", "start", "n_words", "first_doc").distinct()
     order = Window.partitionBy("id").orderBy("start")
     ahead = F.lag(F.col("start") + F.col("n_words")).over(order)
