@@ -93,13 +93,19 @@ KNOWN = (
 COPYRIGHT_LINE = r"(?m)^[^\n]*(copyright[ \t]+(\(c\)|©|[0-9])|\(c\)[ \t]*[0-9]|©|all rights reserved)[^\n]*$"
 
 
+def _plain(text: Column) -> Column:
+    """Lower case, without copyright lines; letters and digits with two blanks between words, so that each word has its
+    own to be found by."""
+    lower = F.lower(text)
+    marked = reduce(Column.__or__, (F.contains(lower, F.lit(m)) for m in ("copyright", "(c)", "©", "all rights reserved")))
+    kept = F.when(marked, F.regexp_replace(lower, COPYRIGHT_LINE, " ")).otherwise(lower)
+    return F.concat(F.lit(" "), F.regexp_replace(kept, r"[^a-z0-9]+", "  "), F.lit(" "))
+
+
 def canonical(text: Column) -> Column:
     """The canonical form; a null text stays null. Copyright lines are those with `copyright` before a year or sign, with
     a sign before a year, or with `all rights reserved`."""
-    plain = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, " ")
-    # two blanks between words, so that each word has its own to be found by
-    plain = F.concat(F.lit(" "), F.regexp_replace(plain, r"[^a-z0-9]+", "  "), F.lit(" "))
-    return F.trim(reduce(lambda c, pair: F.replace(c, F.lit(f" {pair[0]} "), F.lit(f" {pair[1]} ")), SPELLINGS, plain))
+    return F.trim(reduce(lambda c, pair: F.replace(c, F.lit(f" {pair[0]} "), F.lit(f" {pair[1]} ")), SPELLINGS, _plain(text)))
 
 
 def digest(text: Column) -> Column:
@@ -120,7 +126,9 @@ def scan(docs: DataFrame, known=KNOWN, id_col: str = "doc_id", text_col: str = "
     """
     lines = F.transform(F.split(F.col(text_col), "\n"), lambda x, k: F.struct((k + 1).alias("line"), x.alias("unit")))
     units = F.concat(F.array(F.struct(F.lit(0).alias("line"), F.col(text_col).alias("unit"))), lines)
+    # no spelling shortens a text to less than half; what is longer than twice every known text is none of them
+    longest = max((len(t) for _, t in known), default=0)
     found = (docs.select(F.col(id_col).alias("id"), F.explode(units).alias("u")).filter("u.unit is not null")
-             .select("id", "u.line", digest(F.col("u.unit")).alias("digest")))
+             .filter(F.length(_plain(F.col("u.unit"))) <= 4 * longest + 100).select("id", "u.line", digest(F.col("u.unit")).alias("digest")))
     return (found.join(known_digests(docs.sparkSession, known), "digest").groupBy("id", "license")
             .agg((F.min("line") == 0).alias("whole"), F.min("line").alias("first_line")).withColumnRenamed("id", id_col))
