@@ -1,15 +1,15 @@
-"""Benchmark decontamination: item-sized windows, SimHash, multi-index Hamming blocks, exact similarity.
-
-For every benchmark item, windows of as many words as the item has slide over each whole document. A window's SimHash is
-taken over its word shingles; all bits of all windows come from one running sum over the document. Fingerprints are cut
-into BLOCKS bytes: two that differ in at most `radius` bits differ in at most radius // BLOCKS bits of some byte, so the
-tables of each byte's near values find every item fingerprint within the radius. What they find is compared in full, and
-what is within the radius is verified by its exact weighted similarity: the shingles' counts, sum of the lesser by sum of
-the greater.
-
-A window of which too few shingles occur in any item cannot reach the similarity; its fingerprint is not formed. Documents
-are judged where they are read, without a shuffle. The items are carried in blocks of at most ITEM_WORDS words, each a
-pass over the documents, so what a task holds does not grow with the benchmark.
+"""Benchmark decontamination: item-sized windows, lists of the items that hold a shingle, exact similarity.
+
+For every benchmark item, windows of as many words as the item has slide over each whole document. A window of which too
+few shingles occur in an item cannot reach the similarity with it; those shingles are counted for all windows at once,
+from the places where a shingle of the item occurs. Every other window is verified by its exact weighted similarity: the
+shingles' counts, sum of the lesser by sum of the greater. No window alike enough is lost, however its fingerprint lies.
+
+Documents are judged where they are read, without a shuffle. The items are carried in blocks of at most ITEM_WORDS words,
+each a pass over the documents, so what a task holds does not grow with the benchmark.
+
+Fingerprints of items, with tables of the near values of their bytes, are kept for searches by Hamming distance: two that
+differ in at most `radius` bits differ in at most radius // BLOCKS bits of some byte. `hits` and `clean` do not use them.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -62,13 +63,45 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
 
 
 class Sized:
-    """Items of one number of words, with the tables of their fingerprints' bytes."""
+    """Items of one number of words, with the items that hold each shingle, and the tables of their fingerprints' bytes."""
 
     def __init__(self, n_words: int, items: list[tuple[int, np.ndarray]], radius: int):
         self.n_words, self.items, self.radius = n_words, items, radius
-        self.prints = np.array([folded(bits(s).sum(axis=0, dtype=np.int64)[None, :], len(s))[0] for _, s in items], np.uint64)
-        near = np.bitwise_count(np.arange(256, dtype=np.uint8)[:, None] ^ np.arange(256, dtype=np.uint8)[None, :]) <= radius // BLOCKS
-        self.tables = near[:, self.prints.view(np.uint8).reshape(-1, 8)].transpose(2, 0, 1)  # byte's place, its value, item
+        distinct = [np.unique(s) for _, s in items]
+        held, by = np.concatenate(distinct), np.repeat(np.arange(len(items)), [len(s) for s in distinct])
+        order = np.argsort(held, kind="stable")
+        self.holders = by[order]
+        self.shingles, first = np.unique(held[order], return_index=True)
+        self.edges = np.append(first, len(held))
+
+    @cached_property
+    def prints(self) -> np.ndarray:
+        return np.array([folded(bits(s).sum(axis=0, dtype=np.int64)[None, :], len(s))[0] for _, s in self.items], np.uint64)
+
+    @cached_property
+    def tables(self) -> np.ndarray:
+        near = np.bitwise_count(np.arange(256, dtype=np.uint8)[:, None] ^ np.arange(256, dtype=np.uint8)[None, :]) <= self.radius // BLOCKS
+        return near[:, self.prints.view(np.uint8).reshape(-1, 8)].transpose(2, 0, 1)  # byte's place, its value, item
+
+    def sharing(self, s: np.ndarray, places: np.ndarray, n: int, need: int) -> Iterator[tuple[int, np.ndarray]]:
+        """(item, starts) of all windows of n of the shingles `s` with at least `need` that occur in the item; shingles that
+        occur in any item lie at `places`."""
+        at = np.minimum(np.searchsorted(self.shingles, s[places]), len(self.shingles) - 1)
+        own = self.shingles[at] == s[places]
+        at, places = at[own], places[own]
+        counts = self.edges[at + 1] - self.edges[at]
+        ends = np.cumsum(counts)
+        item = self.holders[np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts) + np.repeat(self.edges[at], counts)]
+        order = np.argsort(item, kind="stable")
+        item, where = item[order], np.repeat(places, counts)[order]
+        edges = np.flatnonzero(np.concatenate(([True], item[1:] != item[:-1], [True]))) if len(item) else np.zeros(0, np.int64)
+        for a, b in zip(edges[:-1], edges[1:]):
+            if b - a >= need:
+                seen = where[a:b]
+                low = max(0, int(seen[0]) - n + 1)
+                starts = np.arange(low, min(len(s) - n, int(seen[-1])) + 1)
+                inside = np.searchsorted(seen, starts + n) - np.searchsorted(seen, starts)
+                yield int(item[a]), starts[inside >= need]
 
     def candidates(self, prints: np.ndarray) -> Iterator[tuple[int, int]]:
         """(window, item) of all fingerprints within the radius."""
@@ -124,19 +157,14 @@ class Index:
             n = min(size.n_words - run + 1, len(s))  # shingles of a window; a shorter document is one window
             # shared / (n + n_item - shared) >= least
             need = math.ceil(self.least * (n + n_item) / (1 + self.least) - 1e-9)
-            starts = np.flatnonzero(seen[n:] - seen[:-n] >= need)
-            if not len(starts):
+            if (seen[n:] - seen[:-n]).max() < need:
                 continue
-            first, last = int(starts[0]), int(starts[-1]) + n
-            ones = np.zeros((last - first + 1, 64), np.int32)
-            np.cumsum(bits(s[first:last]), axis=0, out=ones[1:])
-            prints = folded(ones[starts - first + n] - ones[starts - first], n)
-            for window, which in size.candidates(prints):
+            for which, starts in size.sharing(s, np.flatnonzero(np.diff(seen)), n, need):
                 item, shingles = size.items[which]
-                a = int(starts[window])
-                alike = similarity(s[a:a + n], shingles)
-                if alike >= self.least and alike > best.get(item, (0,))[0]:
-                    best[item] = alike, int(place[a]), int(place[a + n + run - 2]) + 1
+                for a in starts.tolist():
+                    alike = similarity(s[a:a + n], shingles)
+                    if alike >= self.least and alike > best.get(item, (0,))[0]:
+                        best[item] = alike, int(place[a]), int(place[a + n + run - 2]) + 1
         return [(item, *found) for item, found in sorted(best.items())]
 
 

@@ -96,3 +96,28 @@ def test_edges(spark):
     assert de.hits(empty, bench).count() == 0 and de.clean(empty, bench).count() == 0
     none = spark.createDataFrame([], "item_id long, text string")
     assert de.hits(docs, none).count() == 0 and de.clean(docs, none).count() == docs.count()
+
+
+def test_windows_just_over_the_similarity_are_all_found():
+    rng = np.random.default_rng(7)
+    word = lambda n: [f"w{x}" for x in rng.integers(0, 10**6, n)]
+    items = [(k, " ".join(word(int(rng.integers(40, 90))))) for k in range(30)]
+    index, known, docs = de.Index(items), de.BareHashes(), []
+    for k in range(1500):
+        passage = items[k % 30][1].split()
+        cut = len(passage) // 10  # words replaced at one end leave about 0.80 to 0.85
+        cut -= k % 3 == 0
+        passage = word(cut) + passage[cut:] if k % 2 else passage[:-cut] + word(cut)
+        docs.append((k, " ".join(word(20) + passage + word(20))))
+    got = {(k, item): alike for k, text in docs for item, alike, _, _ in index.hits(text, known)}
+    want = {}
+    for k, text in docs:  # the window that lies where the passage was put
+        passage = grams(items[k % 30][1].split(), 5)
+        window = grams(text.split()[20:-20], 5)
+        alike = sum((window & passage).values()) / sum((window | passage).values())
+        if alike >= 0.8:
+            want[k, k % 30] = alike
+    assert all(got.get(k, 0) >= v - 1e-12 for k, v in want.items()) and sum(v <= 0.85 for v in want.values()) > 300
+    few = docs[:40]
+    want = plain_hits(few, items[:10])
+    assert {k: v for k, v in got.items() if k[0] < 40 and k[1] < 10} == want
