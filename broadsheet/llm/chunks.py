@@ -3,8 +3,9 @@
 A gear hash rolls over the words of a document: each step shifts the hash left and adds the word's random number, so it
 depends on the last few words only. A chunk ends where the hash is least among SPAN neighbouring words. Boundaries so
 depend on the words around them and not on their place: after an insertion the chunks are the same again, and two texts
-that share a passage share all chunks inside it. Any passage of MIN_WORDS words or more shares a run of chunks of at least
-MIN_WORDS - 2 * SPAN words; runs of that length are reported.
+that share a passage share all chunks inside it. The first boundary that lies in a passage for sure is at most GEAR_WORDS +
+SPAN - 2 words behind its beginning, the last at most SPAN words before its end, so any passage of MIN_WORDS words or more
+shares a run of chunks of at least MIN_WORDS - 2 * (SPAN - 1) - GEAR_WORDS words; runs of that length are reported.
 
 A chunk is known by its digest. The digests' first holders are found by a sum that is pre-aggregated before the shuffle;
 chunks then meet their digest's first holder in an equi join whose hot digests adaptive execution splits. Texts are never
@@ -88,7 +89,7 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str =
     first holders of its chunks.
 
     Every passage that two documents share in at least `min_words` words is found; what is reported has at least
-    `min_words` - 2 * SPAN words. Documents of one id count as one document; rows without an id and null, empty or
+    `min_words` - 2 * (SPAN - 1) - GEAR_WORDS words. Documents of one id count as one document; rows without an id and null, empty or
     wordless texts have no passages.
     """
     pieces = chunks(docs, id_col, text_col)
@@ -101,5 +102,5 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str =
     runs = copies.withColumn("new", (ahead.isNull() | (ahead != F.col("start"))).cast("int")).withColumn("run", F.sum("new").over(order))
     passages = runs.groupBy("id", "run").agg(F.min("start").cast("long").alias("start_word"), F.sum("n_words").alias("n_words"),
                                              F.sort_array(F.collect_set("first_doc")).alias("first_docs"))
-    return (passages.filter(F.col("n_words") >= max(1, min_words - 2 * SPAN))
+    return (passages.filter(F.col("n_words") >= max(1, min_words - 2 * (SPAN - 1) - GEAR_WORDS))
             .select(F.col("id").alias(id_col), "start_word", (F.col("start_word") + F.col("n_words")).alias("end_word"), "n_words", "first_docs"))

@@ -53,3 +53,14 @@ def test_edges(spark):
     assert ch.repeated_passages(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     docs = documents(spark)
     assert order(ch.repeated_passages(docs).collect()) == order(ch.repeated_passages(docs.repartition(5)).collect())
+
+
+def test_passages_of_exactly_fifty_words_are_found(spark):
+    rng = np.random.default_rng(8)
+    word = lambda n: [f"t{x}" for x in rng.integers(0, 10**9, n)]
+    docs = []
+    for k in range(1000):
+        passage = word(50 + k % 2)
+        docs += [(2 * k + d, " ".join(word(30) + passage + word(30))) for d in (0, 1)]
+    rows = ch.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(1, 2000, 2)) and min(r.n_words for r in rows) < 26
