@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import chunks, decontaminate, licenses, mixing, ngram_lm, quality_neighbours, quality_rules, simhash, token_files, url_rules
+from broadsheet.llm import chunks, conversations, decontaminate, licenses, mixing, ngram_lm, quality_neighbours, quality_rules, simhash, token_files, url_rules
 from broadsheet.session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +164,83 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "token-files")
     token_files.write(table(spark, sf_dir, "documents"), folder, vocabulary())
     return token_files.read(spark, folder, with_ids=False)
+
+
+# crc32 of an ASCII text `k`, from the list `crc_list` of the 256 remainders in the one row of `crc_table`
+CRC_TABLE = """crc_table AS (SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)), lambda c, k:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc_list)"""
+
+
+def _crc_sql(codes: str) -> str:
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, b: "
+            "xor(c >> 8, crc_list[(xor(c, b) & 255) + 1])), 4294967295)")
+
+
+def _edit_sql(state: str, letter: str, cost: str, line: str | None) -> str:
+    """A path (cost, audit, text) with one more edit; nothing where there is no path."""
+    text = f"{state}.t" if line is None else f"{state}.t || {line} || chr(10)"
+    return f"CASE WHEN {state} IS NOT NULL THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {text}}} END"
+
+
+def _inserted_sql(source: str) -> str:
+    """Up to two insertions after the paths v0 to v3 (empty, after system, after user, after assistant)."""
+    once = (f"SELECT *, least(v2, {', '.join(_edit_sql(v, 'I', '2', chr(39) + 'user:' + chr(39)) for v in ('v0', 'v1', 'v3'))}) AS i2, "
+            f"least(v3, {_edit_sql('v2', 'I', '2', chr(39) + 'assistant:' + chr(39))}) AS i3 FROM {source}")
+    return (f"SELECT * REPLACE (least(i2, {_edit_sql('i3', 'I', '2', chr(39) + 'user:' + chr(39))}) AS v2, "
+            f"least(i3, {_edit_sql('i2', 'I', '2', chr(39) + 'assistant:' + chr(39))}) AS v3) FROM ({once})")
+
+
+def _row_sql(state: str, keeps: str, role: str) -> str:
+    """The ways to keep a row, or to give it a role, after a path."""
+    kept = _edit_sql(state, "K", "cut", "role || ':' || text")
+    given = _edit_sql(state, "R", "2 + cut", f"'{role}:' || text")
+    return f"CASE WHEN NOT gone AND initial = '{keeps}' THEN {kept} END, CASE WHEN NOT gone THEN {given} END"
+
+
+REPAIR_SQL = f"""
+WITH RECURSIVE {CRC_TABLE},
+keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc_sql("list_transform(range(length(k)), lambda i: ord(k[i + 1])::BIGINT)")} % 20 AS fault
+  FROM (SELECT *, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations), crc_table),
+damage AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(CASE WHEN fault = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM keyed WHERE fault <> 0),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i FROM damage),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+         NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank, regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) NOT IN ('.', '!', '?') AS open
+  FROM ordered),
+judged AS (
+  SELECT *, blank OR again AS gone, (NOT blank AND NOT again AND open)::BIGINT AS cut, substr(role, 1, 1) AS initial,
+         lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM placed),
+sums AS (
+  SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, sum(blank::INT) AS blank, sum((again AND NOT blank)::INT) AS duplicate,
+         sum(cut) AS truncated, sum(coalesce(before || initial NOT IN ('su', 'ua', 'au'), false)::INT) AS illegal, max(i) AS last
+  FROM judged GROUP BY conv_id),
+walk AS (
+  SELECT conv_id, 0::BIGINT AS i, {{'c': 0::BIGINT, 'a': '', 't': ''}} AS v0, NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR) AS v1,
+         NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR) AS v2, NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR) AS v3 FROM sums
+  UNION ALL
+  SELECT w.conv_id, w.i + 1, {_edit_sql('v0', 'D', '3', None)},
+         least({_edit_sql('v1', 'D', '3', None)}, CASE WHEN NOT gone AND initial = 's' THEN {_edit_sql('v0', 'K', 'cut', "role || ':' || text")} END),
+         least({_edit_sql('v2', 'D', '3', None)}, {', '.join(_row_sql(v, 'u', 'user') for v in ('v0', 'v1', 'v3'))}),
+         least({_edit_sql('v3', 'D', '3', None)}, {_row_sql('v2', 'a', 'assistant')})
+  FROM ({_inserted_sql('walk')}) w JOIN judged j ON w.conv_id IS NOT DISTINCT FROM j.conv_id AND j.i = w.i + 1),
+ends AS (
+  SELECT w.conv_id, least(v0, v3) AS v
+  FROM ({_inserted_sql('walk')}) w JOIN sums s ON w.conv_id IS NOT DISTINCT FROM s.conv_id AND w.i = s.last)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(v.c, 0)::BIGINT AS cost,
+       coalesce(v.a, '') AS audit, sha256(coalesce(v.t[1:length(v.t) - 1], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN sums s ON o.conv_id IS NOT DISTINCT FROM s.conv_id LEFT JOIN ends e ON o.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+
+@query("op11_conversation_repair", REPAIR_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.damage_reports(table(spark, sf_dir, "conversations"))
