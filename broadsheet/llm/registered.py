@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import chunks, conversations, decontaminate, licenses, mixing, ngram_lm, quality_neighbours, quality_rules, simhash, token_files, url_rules
+from broadsheet.llm import chunks, conversations, decontaminate, languages, licenses, mixing, ngram_lm, quality_neighbours, quality_rules, simhash, token_files, url_rules
 from broadsheet.session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -244,3 +244,9 @@ LEFT JOIN sums s ON o.conv_id IS NOT DISTINCT FROM s.conv_id LEFT JOIN ends e ON
 @query("op11_conversation_repair", REPAIR_SQL)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.damage_reports(table(spark, sf_dir, "conversations"))
+
+
+@query("op12_language_id")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return languages.predict(docs, languages.train(docs))
