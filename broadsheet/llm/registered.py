@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import chunks, conversations, decontaminate, languages, licenses, mixing, ngram_lm, quality_neighbours, quality_rules, simhash, token_files, url_rules
+from broadsheet.llm import chunks, conversations, decontaminate, languages, licenses, mixing, ngram_lm, quality_neighbours, quality_rules, simhash, spelling, token_files, url_rules
 from broadsheet.session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -250,3 +250,40 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return languages.predict(docs, languages.train(docs))
+
+
+SPELLING_SQL = rf"""
+WITH RECURSIVE {CRC_TABLE},
+found AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS run
+    FROM documents) GROUP BY ALL),
+hashed AS (
+  SELECT run, n, {_crc_sql("list_transform(range(length(k) // 2), lambda i: ('0x' || substr(k, 2 * i + 1, 2))::BIGINT)")} AS h
+  FROM (SELECT run, n, hex(encode(coalesce(doc_id::VARCHAR, ' ') || ':' || run)) AS k FROM found WHERE length(run) >= {spelling.SHORTEST}), crc_table),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n
+  FROM (SELECT CASE WHEN h % {spelling.PLANTED} = 0 THEN run[1:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, n FROM hashed)
+  WHERE length(word) >= {spelling.SHORTEST} GROUP BY word HAVING sum(n) >= {spelling.LEAST}),
+masks AS (SELECT word, unnest(list_transform(range(length(word)), lambda p: word[1:p] || '*' || word[p + 2:])) AS mask FROM words),
+less AS (SELECT DISTINCT word, replace(mask, '*', '') AS shorter FROM masks),
+pairs AS (
+  SELECT a.word, b.word AS other FROM masks a JOIN masks b ON a.mask = b.mask AND a.word <> b.word
+  UNION ALL SELECT l.word, shorter FROM less l JOIN words w ON shorter = w.word
+  UNION ALL SELECT shorter, l.word FROM less l JOIN words w ON shorter = w.word),
+nears AS (
+  SELECT p.word, count(*) AS n_near, max(w.n) AS most, min_by(other, (-w.n, encode(other))) AS best FROM pairs p JOIN words w ON other = w.word GROUP BY p.word),
+forms AS (
+  SELECT w.word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN most >= {spelling.RATIO} * n THEN best END AS form,
+         CASE WHEN most >= {spelling.RATIO} * n THEN most END AS form_n FROM words w LEFT JOIN nears USING (word)),
+ways AS (
+  SELECT word, form AS root FROM forms WHERE form IS NOT NULL
+  UNION ALL SELECT v.word, f.form FROM ways v JOIN forms f ON v.root = f.word WHERE f.form IS NOT NULL),
+roots AS (SELECT v.word, v.root FROM ways v JOIN forms f ON v.root = f.word WHERE f.form IS NULL)
+SELECT f.word, form, coalesce(root, f.word) AS root, n, n_near, form_n FROM forms f LEFT JOIN roots r ON f.word = r.word
+"""
+
+
+@query("op13_spelling_variants", SPELLING_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.counted(table(spark, sf_dir, "documents"), errors=True))
