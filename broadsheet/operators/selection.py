@@ -21,6 +21,7 @@ from broadsheet.functions import rules as ru
 from broadsheet.functions import text as tx
 from broadsheet.functions import urls
 from broadsheet.operators import linkage as lk
+from broadsheet.operators import reasons
 from broadsheet.operators.admission import first_reason
 from broadsheet.operators.dedup import first_per_key
 from broadsheet.session import broadcast_if_small, stored
@@ -128,9 +129,7 @@ def candidate_pool(features: DataFrame, editions: DataFrame, history: DataFrame,
 # Rows of one class are told apart by nothing but score, time and id; rows of one group also by source.
 GROUP = ["layer", "level", "importance_class", "major", "category", "source_tier"]
 CLASS = [*GROUP, "source"]
-PICK_SCHEMA = (
-    "feed_id int, report_date date, id string, layer string, level int, score double, importance int, "
-    "pick int, state string, reason string, duplicate_of string")
+PICK_SCHEMA = "feed_id int, report_date date, id string, n int, phase string, epoch int, pick int, state string"
 
 
 def same_event(a, b) -> bool:
@@ -190,12 +189,11 @@ class Round:
     def __init__(self, rows: list, limits: Limits, rules: dict, cut: set):
         self.rows, self.limits, self.rules, self.cut = rows, limits, rules, cut
         self.picks: list = []
-        self.out: dict[str, tuple[str, str | None]] = {}
+        self.epochs: dict[str, int] = {}  # picks made when a row was deferred
         self.deferred: list = []
+        self.filled: set[str] = set()
         self.sources: Counter = Counter()
         self.categories: Counter = Counter()
-        self.levels_done: set[int] = set()
-        self.exception = False
 
     def blocked(self, row) -> bool:
         """A limit keeps this (non-major) row back. Counts only grow, so it stays blocked."""
@@ -230,9 +228,10 @@ class Round:
                 found = duplicate_reason(row, self.picks)
                 stock.use(row)
                 if found:
-                    self.out[row.id] = found
+                    pass
                 elif self.blocked(row):
                     self.deferred.append(row)
+                    self.epochs[row.id] = len(self.picks)
                     stock.close(row.cls)
                     if self.categories[row.category] >= self.limits.category:
                         stock.close(row.grp)
@@ -244,7 +243,6 @@ class Round:
                 if picked is not None:
                     break
             waiting = waiting[picked + 1:] if picked is not None else []
-        self.levels_done.add(level)
 
     def fill(self) -> None:
         """Blocked rows return, best score first, only while the minimum is missed."""
@@ -253,12 +251,9 @@ class Round:
             if len(self.picks) >= self.limits.fill_to:
                 break
             stock.use(row)
-            found = duplicate_reason(row, self.picks)
-            if found:
-                self.out[row.id] = (found[0], None)
-            else:
+            if not duplicate_reason(row, self.picks):
                 self.take(row)
-                self.exception = True
+                self.filled.add(row.id)
             if stock.short(row) and len(self.picks) < self.limits.fill_to:
                 raise Cut
 
@@ -268,14 +263,10 @@ class Round:
             if len(self.picks) >= self.rules["target"]:
                 break
         self.fill()
-        self.exception |= any(n > self.limits.source for n in self.sources.values())
 
-    def reason(self, row) -> tuple[str, str | None]:
-        if row.id in self.out:
-            return self.out[row.id]
-        if any(row.id == d.id for d in self.deferred):
-            return "diversity_deferred_not_used", None
-        return ("selection_capacity" if row.level in self.levels_done else "target_met_before_level"), None
+    def chosen(self) -> list[tuple]:
+        """(row, phase, epoch) in order."""
+        return [(r, "fill", self.epochs[r.id]) if r.id in self.filled else (r, "main", None) for r in self.picks]
 
 
 def shortlist(pool: DataFrame, keep: int) -> DataFrame:
@@ -309,16 +300,17 @@ def _rows(pdf: pd.DataFrame, keep: int) -> tuple[list, set]:
     return rows, cut | {r.grp for r in rows if r.group_size > group_keep(keep)}
 
 
-def _result(pdf: pd.DataFrame, picks: list, lost: list, complete: bool) -> pd.DataFrame:
+def _result(pdf: pd.DataFrame, chosen: list, twins: set, complete: bool) -> pd.DataFrame:
+    """The chosen rows in order; those in `twins` take no place."""
     feed, day = pdf["feed_id"].iloc[0], pdf["report_date"].iloc[0]
-    state = "picked" if complete else "sure"
-    data = [(feed, day, r.id, r.layer, r.level, r.score, r.importance, n, state, None, None) for n, r in enumerate(picks, start=1)]
-    data += [(feed, day, r.id, r.layer, r.level, r.score, r.importance, None, "dropped", why, other) for r, why, other in lost]
+    data, place = [], 0
+    for n, (r, phase, epoch) in enumerate(chosen):
+        place += r.id not in twins
+        data.append((feed, day, r.id, n, phase, epoch, None if r.id in twins else place, "chosen" if complete else "sure"))
     if not complete:
-        data.append((feed, day, None, None, None, None, None, None, "cut", None, None))
-    names = [part.split()[0] for part in PICK_SCHEMA.split(", ")]
-    out = pd.DataFrame(data, columns=names)
-    return out.astype({"level": "Int32", "importance": "Int32", "pick": "Int32"})
+        data.append((feed, day, None, None, None, None, None, "cut"))
+    out = pd.DataFrame(data, columns=[part.split()[0] for part in PICK_SCHEMA.split(", ")])
+    return out.astype({"n": "Int32", "epoch": "Int32", "pick": "Int32"})
 
 
 def _greedy(rules: dict, limit: int | None, keep: int):
@@ -330,10 +322,8 @@ def _greedy(rules: dict, limit: int | None, keep: int):
         try:
             run.run()
         except Cut:
-            return _result(pdf, run.picks, [], complete=False)
-        chosen = {r.id for r in run.picks}
-        lost = [(r, *run.reason(r)) for r in rows if r.id not in chosen]
-        return _result(pdf, run.picks, lost, complete=True)
+            return _result(pdf, run.chosen(), set(), complete=False)
+        return _result(pdf, run.chosen(), set(), complete=True)
 
     return pick
 
@@ -354,42 +344,36 @@ def _layered(rules: dict, limit: int | None, keep: int):
     def pick(pdf: pd.DataFrame) -> pd.DataFrame:
         rows, cut = _rows(pdf, keep)
         final: list = []
-        lost: list = []
+        chosen: list = []
+        twins: set = set()
         locked = 0
         for layer in fv.SUPPLY_LAYERS:
             members = [r for r in rows if r.layer == layer]
             room = target - len(final)
             if layer != "today" and (locked >= rules["minimum"] or room <= 0):
-                why = "normal_today_edition_no_supplement" if locked >= rules["minimum"] else "no_remaining_slots"
-                lost += [(r, why, None) for r in members]
                 continue
             open_rows = []
             dropped: Counter = Counter()
             for row in members:
                 # Earlier layers are references: never competitors, always a reason to drop.
-                twin = _bilingual_twin(row, final)
-                found = None if twin else duplicate_reason(row, final)
-                if twin or found:
+                if _bilingual_twin(row, final) or duplicate_reason(row, final):
                     dropped.update((row.cls, row.grp))
-                    why = "duplicate_with_locked_selection" if twin else found[0].replace("duplicate", "historical")
-                    lost.append((row, why, None if twin else found[1]))
                 else:
                     open_rows.append(row)
             held = Counter(key for r in members for key in (r.cls, r.grp))
             if any(key in cut and dropped[key] == held[key] for key in held):
-                return _result(pdf, final, [], complete=False)
+                return _result(pdf, [c for c in chosen if c[0].id not in twins], set(), complete=False)
             run = Round(open_rows, Limits(room, rules), rules, cut)
             try:
                 run.run()
             except Cut:
-                return _result(pdf, final + run.picks, [], complete=False)
-            kept, twins = _accept(run.picks)
-            lost += [(r, "duplicate_bilingual_event", None) for r in twins]
-            chosen = {r.id for r in run.picks}
-            lost += [(r, *run.reason(r)) for r in open_rows if r.id not in chosen]
+                return _result(pdf, [c for c in chosen if c[0].id not in twins] + run.chosen(), set(), complete=False)
+            kept, left = _accept(run.picks)
+            chosen += run.chosen()
+            twins |= {r.id for r in left}
             final += kept
             locked += len(kept) if layer == "today" else 0
-        return _result(pdf, final, lost, complete=True)
+        return _result(pdf, chosen, twins, complete=True)
 
     return pick
 
@@ -435,15 +419,16 @@ def _without_known_duplicates(pool: DataFrame, sure: DataFrame) -> DataFrame:
     return pool.join(doubles.filter(out).select(*EDITION, "id").distinct(), [*EDITION, "id"], "left_anti")
 
 
-def _pick_editions(pool: DataFrame, picker, keep: int) -> DataFrame:
-    """Run the picker over all editions; editions stopped by a cut class run again on a thinner pool."""
+def _pick_editions(pool: DataFrame, picker, keep: int, rules: dict, limit: int | None, layered: bool) -> DataFrame:
+    """Run the picker over all editions; editions stopped by a cut class run again on a thinner pool. Then every row of the
+    whole pool gets its decision."""
     if keep <= fv.RULES["maximum"]:
         raise ValueError("the shortlist must hold more rows per class than an edition has places")
     pool = pool.withColumn("major", F.col("importance") >= fv.RULES["major_score"]).withColumn(
         "importance_class", F.floor(F.col("importance") / 10).cast("int"))
     # Counted once: rows that leave the pool between rounds still make the day a major one.
     majors = pool.groupBy(*EDITION).agg(F.count_if(F.col("major") & (F.col("level") <= 2)).alias("majors"))
-    pool = stored(pool.join(majors, EDITION), "pool")
+    pool = whole = stored(pool.join(majors, EDITION), "pool")
     done: DataFrame | None = None
     while True:
         result = stored(shortlist(pool, keep).groupBy(*EDITION).applyInPandas(picker, PICK_SCHEMA), "picks")
@@ -451,14 +436,14 @@ def _pick_editions(pool: DataFrame, picker, keep: int) -> DataFrame:
         finished = result.join(open_editions, EDITION, "left_anti")
         done = finished if done is None else done.unionByName(finished)
         if open_editions.isEmpty():
-            return done
+            return reasons.decided(whole, done, rules, limit, layered)
         pool = pool.join(open_editions, EDITION, "left_semi")
         pool = stored(_without_known_duplicates(pool, result.filter("state = 'sure'").select(*EDITION, "id")), "pool")
 
 
 def select_edition(pool: DataFrame, rules: dict = fv.RULES, limit: int | None = None, keep: int = SHORTLIST) -> DataFrame:
-    """Picks (and reasons for the shortlisted rest) of every edition; `pool` holds rows without a gate."""
-    return _pick_editions(pool.withColumn("layer", F.lit("single")), _greedy(rules, limit, keep), keep)
+    """The decision on every row of `pool` (rows without a gate): its place in the edition, or why it has none."""
+    return _pick_editions(pool.withColumn("layer", F.lit("single")), _greedy(rules, limit, keep), keep, rules, limit, layered=False)
 
 
 def supply_layer(published_at: Column, tier: Column, deep: Column, now: Column, reserve: dict[str, Column]) -> Column:
@@ -476,11 +461,28 @@ def supply_layer(published_at: Column, tier: Column, deep: Column, now: Column,
 
 
 def select_layered(pool: DataFrame, rules: dict = fv.RULES, limit: int | None = None, keep: int = SHORTLIST) -> DataFrame:
-    """Layer by layer: today is locked, older layers only fill up to the target and only if today is short.
+    """Layer by layer: today is locked, older layers only fill up to the target and only if today is short. The decision on
+    every row, those outside all layers included.
 
     `pool` also holds `layer`, and per language `key_cn`, `versions_cn`, `key_en`, `versions_en`.
     """
-    return _pick_editions(pool.filter(F.col("layer").isNotNull()), _layered(rules, limit, keep), keep)
+    placed = pool.filter(F.col("layer").isNotNull())
+    out = _pick_editions(placed, _layered(rules, limit, keep), keep, rules, limit, layered=True)
+    outside = pool.filter(F.col("layer").isNull()).select(
+        *EDITION, "id", "layer", F.col("level").cast("int").alias("level"), "score", F.col("importance").cast("int").alias("importance"),
+        F.lit(None).cast("int").alias("pick"), F.lit("dropped").alias("state"), F.lit("outside_eligible_supply_layers").alias("reason"),
+        F.lit(None).cast("string").alias("duplicate_of"))
+    return out.unionByName(outside)
+
+
+def layer_metadata(decisions: DataFrame, rules: dict = fv.RULES, limit: int | None = None) -> DataFrame:
+    """What the layers mean for a picked row; null for the others."""
+    picked, today = F.col("state") == "picked", F.col("layer") == "today"
+    target = min(rules["target"], limit or rules["maximum"])
+    priority = F.array_position(F.array(*[F.lit(n) for n in fv.SUPPLY_LAYERS]), F.col("layer")).cast("int") - 1
+    return decisions.select("*", *[F.when(picked, c).alias(n) for n, c in (
+        ("is_today", today), ("locked_today", today), ("selected_as_fallback", ~today), ("fallback_priority", priority),
+        ("deep_read", F.col("layer") == "deep_read"), ("remaining_slots_before", F.lit(target) - F.col("pick") + 1))])
 
 
 def event_dedup_first(items: DataFrame, keys: list[str]) -> DataFrame:

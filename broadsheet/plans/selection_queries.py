@@ -120,9 +120,9 @@ def select_edition(spark, sf):
 
 @query("selection_reasons")
 def selection_reasons(spark, sf):
-    """Reasons for candidates that were not picked, without the event gate of the history."""
-    out = se.select_edition(pool(spark, sf).filter("gate is null")).filter("state = 'dropped'")
-    return out.groupBy("feed_id", day(), "reason").agg(F.count("*").alias("n"))
+    """How many candidates of each edition were dropped for what, every row of the pool counted."""
+    out = se.select_edition(pool(spark, sf, events=True).filter("gate is null")).filter("state = 'dropped'")
+    return out.groupBy("feed_id", day(), "level", "reason").agg(F.count("*").alias("n"))
 
 
 LAYER_SQL = """CASE WHEN level IN (1, 2) THEN 'today' WHEN doc_id % 6 = 0 THEN CASE WHEN doc_id % 12 = 0 AND days > 3 AND days <= 365 THEN 'evergreen' END
@@ -154,7 +154,7 @@ def select_layered(spark, sf):
     rows = _layered_rows(spark, sf, F.col("now_ts"), pool(spark, sf, events=True).filter("gate is null"))
     rows = rows.select("*", F.col("title_key").alias("key_cn"), F.col("versions").alias("versions_cn"),
                        F.col("title_key").alias("key_en"), F.col("versions").alias("versions_en"))
-    return se.select_layered(rows).withColumn("report_date", F.col("report_date").cast("string"))
+    return se.layer_metadata(se.select_layered(rows)).withColumn("report_date", F.col("report_date").cast("string"))
 
 
 @query("event_dedup_first")
