@@ -72,16 +72,25 @@ def colliding(known: DataFrame, batch: DataFrame) -> DataFrame:
     return by_url.unionByName(by_print)
 
 
+LAST_ROWS = 100_000  # colliding rows (narrow) that one task admits one by one
+
+
 def first_of_both(batch: DataFrame, seq: str = "seq", url: str = "original_url", key: str = "fingerprint") -> DataFrame:
-    """The rows that are admitted one by one, newest first, if no row admitted before has their URL or fingerprint.
+    """The rows that are admitted one by one, newest first, if no row admitted before has their URL or fingerprint. A null is
+    no key: it bars nobody and is barred by nobody.
 
     A row that is dropped for one key bars nobody by its other key, so this is not the first of each. Rows that lead both
     their URL and their fingerprint are admitted together, what they bar leaves, and the rest is judged again; only rows
-    that collide take part in a further round. `seq` tells rows apart.
+    that collide take part in a further round. When at most LAST_ROWS are left, one task goes through them in order, so a long
+    chain of collisions takes no round per link. `seq` tells rows apart.
     """
     rank = F.struct(F.col("published_at").isNull(), -F.unix_micros("published_at"), F.col(seq))
+
+    def own(name: str, mark: str) -> Column:  # a null gets a key that no other row has
+        return F.coalesce(F.concat(F.lit("="), F.col(name).cast("string")), F.concat(F.lit(mark), F.col(seq).cast("string")))
+
     batch = stored(batch, "batch")
-    waiting = batch.select(F.col(seq).alias("_seq"), F.col(url).alias("_url"), F.col(key).alias("_key"), rank.alias("_rank"))
+    waiting = batch.select(F.col(seq).alias("_seq"), own(url, "u").alias("_url"), own(key, "k").alias("_key"), rank.alias("_rank"))
     admitted: DataFrame | None = None
     while True:
         by_url = waiting.groupBy("_url").agg(F.min("_rank").alias("_url_first"))
@@ -91,10 +100,29 @@ def first_of_both(batch: DataFrame, seq: str = "seq", url: str = "original_url",
         leads = stored(leads.select("_seq", "_url", "_key"), "admitted")
         admitted = leads if admitted is None else admitted.unionByName(leads)
         waiting = stored(waiting.join(leads.select("_url"), "_url", "left_anti").join(leads.select("_key"), "_key", "left_anti"), "waiting")
-        if waiting.isEmpty():
+        if small(waiting, LAST_ROWS):
+            admitted = admitted.unionByName(_one_by_one(waiting))
             return batch.join(admitted.select(F.col("_seq").alias(seq)), seq, "left_semi").select(*batch.columns)
 
 
+def _one_by_one(waiting: DataFrame) -> DataFrame:
+    """The admitted rows of a bounded rest, in one task."""
+
+    def admit(parts):
+        urls, keys = set(), set()
+        for part in parts:
+            kept = []
+            for n, (a, b) in enumerate(zip(part["_url"], part["_key"])):
+                if a not in urls and b not in keys:
+                    urls.add(a)
+                    keys.add(b)
+                    kept.append(n)
+            yield part.iloc[kept]
+
+    rows = waiting.repartition(1).sortWithinPartitions("_rank").select("_seq", "_url", "_key")
+    return rows.mapInPandas(admit, rows.schema)
+
+
 def new_articles(batch: DataFrame, known: DataFrame, seq: str = "seq") -> DataFrame:
     """Rows of a batch that may be appended: unknown to the table, and admitted by URL and fingerprint among themselves."""
     return first_of_both(exclude_known(batch, known), seq)

@@ -1,18 +1,26 @@
-"""Reports of the same event: an exact similarity join on headlines.
+"""Reports of the same event: similarity joins on headlines.
 
 Two headlines name one event when their explicit versions do not conflict and
 their Ratcliff-Obershelp ratio reaches 0.78. The ratio is bounded from above by
-the overlap of the character multisets, so the join uses an index over the
-rarest characters of each headline that no qualifying pair can escape (prefix
-filtering), then the length and multiset bounds, and only then the ratio.
-Equal headlines collapse first, so copies cost one row.
+the characters they share, and by those they share in order.
+
+At this threshold no index of shared grams is selective without losing pairs:
+matching blocks of two characters suffice for it, and headlines of one language
+share more 2-grams than the bound asks for (of pairs that pass the character
+counts it drops one in 2,000). So there are two ways. `event_pairs` finds all
+pairs: headlines of like length meet in tiles, as matrices of character counts,
+and only pairs that the counts allow are compared. `sketched_pairs` lets only
+headlines meet that agree in a band of their 3-gram sketches. Equal headlines
+collapse first, so copies cost one row.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,10 +31,11 @@ from broadsheet.functions import text as tx
 from broadsheet.session import broadcast_if_small, stored
 
 RATIO = fv.SAME_EVENT_RATIO
-# Smallest share of a headline that any partner must cover, whatever the partner's length.
-LEAST_SHARE = RATIO / (2 - RATIO)
+BAND_WIDTH = math.log((2 - RATIO) / RATIO) + 1e-9  # of the bands of lengths, as a logarithm
 ROWS_PER_SALT = 20_000
-FOLDS = 32  # classes the characters of a headline are counted in
+FOLDS = 64  # classes the characters of a headline are counted in
+TILE = 512  # headlines of one side compared in one task
+CELLS = 1 << 22  # counts compared at once
 
 
 def _room(new: str, kept: str) -> int:
@@ -34,6 +43,25 @@ def _room(new: str, kept: str) -> int:
     return sum((Counter(new) & Counter(kept)).values()) if new and kept else 0
 
 
+def _places(text: str) -> dict[str, int]:
+    """For each character, its places as bits of one integer."""
+    out: dict[str, int] = {}
+    for n, c in enumerate(text):
+        out[c] = out.get(c, 0) | 1 << n
+    return out
+
+
+def _in_order(places: dict[str, int], size: int, kept: str) -> int:
+    """Characters that two headlines share in the same order (their longest common subsequence), a whole row of the table at
+    once in the bits of one integer. Matching blocks are in order, so they cover no more."""
+    whole = (1 << size) - 1
+    free = whole
+    for c in kept:
+        hit = free & places.get(c, 0)
+        free = ((free + hit) | (free - hit)) & whole
+    return size - free.bit_count()
+
+
 def close_ratio(matcher: SequenceMatcher, new: str, kept: str) -> float:
     """The matching-blocks ratio, or 0 as soon as the threshold is out of reach.
 
@@ -68,7 +96,12 @@ def close_ratio(matcher: SequenceMatcher, new: str, kept: str) -> float:
 @F.pandas_udf(T.DoubleType())
 def _headline_ratio(new: pd.Series, kept: pd.Series) -> pd.Series:
     matcher = SequenceMatcher(None)
-    return pd.Series([close_ratio(matcher, a, b) for a, b in zip(new, kept)], index=new.index, dtype="float64")
+
+    def ratio(a: str, b: str) -> float:
+        out_of_reach = 2 * _in_order(_places(a), len(a), b) < RATIO * (len(a) + len(b)) - 1e-9
+        return 0.0 if out_of_reach else close_ratio(matcher, a, b)
+
+    return pd.Series([ratio(a, b) for a, b in zip(new, kept)], index=new.index, dtype="float64")
 
 
 # Not to be evaluated twice, as a filter on its result otherwise would.
@@ -83,65 +116,141 @@ def event_key(title: Column) -> list[Column]:
     return [tx.title_key(title).alias("title_key"), tx.version_set(title).alias("versions")]
 
 
-def character_tokens(key: Column) -> Column:
-    """The key's characters as a set of numbers: code point and occurrence; [0] for an empty key."""
-    chars = F.array_sort(F.filter(F.split(key, ""), lambda c: c != ""))
-    tokens = tx.let(chars, lambda cs: F.transform(
-        cs, lambda c, i: F.ascii(c).cast("bigint") * 100_000 + i + 2 - F.array_position(cs, c)))
-    return F.when(key == "", F.array(F.lit(0).cast("bigint"))).otherwise(tokens)
-
-
-def _postings(keys: DataFrame, scope: list[str], weights: DataFrame, hot: DataFrame, side: str, spread: Column) -> DataFrame:
-    """One row per token of each key's prefix, rarest tokens first: position, length and folded counts."""
-    exploded = keys.select(
-        *scope, "title_key", "versions", F.explode(character_tokens(F.col("title_key"))).alias("token"))
-    fold = F.floor(F.col("token") / 100_000) % FOLDS
-    ranked = exploded.join(weights, "token").groupBy(*scope, "title_key", "versions").agg(
-        F.sort_array(F.collect_list(F.struct("weight", "token"))).alias("tokens"),
-        *[F.count_if(fold == i).cast("int").alias(f"{side}_c{i}") for i in range(FOLDS)])
-    n = F.length("title_key")
-    prefix = n - F.ceil(n * F.lit(LEAST_SHARE) - F.lit(1e-9)).cast("int") + 1
-    signed = ranked.select(
-        *scope, F.col("title_key").alias(f"{side}_key"), F.col("versions").alias(f"{side}_versions"), n.alias(f"{side}_n"),
-        *[f"{side}_c{i}" for i in range(FOLDS)],
-        F.slice("tokens", F.lit(1), prefix).alias("prefix"))
-    posted = signed.select("*", F.posexplode("prefix").alias(f"{side}_pos", "t")).drop("prefix")
-    posted = posted.withColumn("token", F.col("t.token")).drop("t").join(hot, [*scope, "token"], "left")
-    return posted.withColumn("salts", F.coalesce("salts", F.lit(1))).withColumn("salt", spread).drop("salts")
+GRAM, BANDS, BAND_ROWS = 3, 80, 3  # of the sketches: a pair alike in a share s of its grams is met with 1 - (1 - s^3)^80
+_MIX = np.random.default_rng(42).integers(1, 1 << 63, (2, BANDS * BAND_ROWS), np.uint64) | np.uint64(1)
+
+
+def _sketch(key: str) -> np.ndarray:
+    """One key per band, from the least hashes of the headline's distinct 3-grams (a shorter headline is one gram)."""
+    codes = np.fromiter(map(ord, key.ljust(GRAM, "\0")), np.uint64)
+    grams = np.unique(sum(codes[k:len(codes) - GRAM + 1 + k] << np.uint64(21 * k) for k in range(GRAM)))
+    least = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(grams), 512):
+        some = grams[at:at + 512, None]
+        mixed = (some ^ (some >> np.uint64(29))) * _MIX[0]
+        least = np.minimum(least, ((mixed ^ (mixed >> np.uint64(32))) * _MIX[1]).min(0))
+    least = least.reshape(BANDS, BAND_ROWS)
+    out = least[:, 0]
+    for k in range(1, BAND_ROWS):
+        out = (out ^ (out >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + least[:, k]
+    return out.view(np.int64)
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def sketch_keys(key: pd.Series) -> pd.Series:
+    return key.map(_sketch)
+
+
+def sketched_pairs(new: DataFrame, kept: DataFrame, scope: list[str]) -> DataFrame:
+    """The pairs of `event_pairs` that agree in a band of their sketches: what it returns is right, but a pair may be missed.
+    Only headlines that share grams meet, so this is the way for histories of any length; tests and README give its recall."""
+    new = stored(new.select(*scope, "title_key", "versions").distinct(), "headlines")
+    kept = stored(kept.select(*scope, "title_key", "versions").distinct(), "headlines")
+
+    def banded(keys: DataFrame, side: str) -> DataFrame:
+        return keys.select(*scope, F.col("title_key").alias(f"{side}_key"), F.col("versions").alias(f"{side}_versions"),
+                           F.posexplode(sketch_keys(F.col("title_key"))).alias("band", "sketch"))
+
+    left, right = banded(new, "new"), banded(kept, "kept")
+    # Bands in which very many headlines agree are spread over several reducers.
+    hot = left.groupBy(*scope, "band", "sketch").agg(F.count("*").alias("n")).filter(F.col("n") > ROWS_PER_SALT).select(
+        *scope, "band", "sketch", F.ceil(F.col("n") / ROWS_PER_SALT).cast("int").alias("salts"))
+    hot = broadcast_if_small(stored(hot, "hot-bands"))
+    salts = F.coalesce("salts", F.lit(1))
+    left = left.join(hot, [*scope, "band", "sketch"], "left").withColumn("salt", F.pmod(F.xxhash64("new_key"), salts).cast("int")).drop("salts")
+    right = right.join(hot, [*scope, "band", "sketch"], "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
+    shorter = F.least(F.length("new_key"), F.length("kept_key")) >= (F.length("new_key") + F.length("kept_key")) * F.lit(RATIO / 2) - F.lit(1e-9)
+    near = left.join(right, [*scope, "band", "sketch", "salt"]).filter(
+        shorter & ~versions_conflict(F.col("new_versions"), F.col("kept_versions")))
+    near = near.select(*scope, "new_key", "new_versions", "kept_key", "kept_versions").distinct()
+    near = near.repartition(int(new.sparkSession.conf.get("spark.sql.shuffle.partitions")), "new_key", "kept_key")
+    return near.withColumn("ratio", headline_ratio("new_key", "kept_key")).filter(F.col("ratio") >= RATIO)
+
+
+def _length_band(n: Column) -> Column:
+    """Partners differ in length by a factor of (2 - RATIO) / RATIO at most, so they are in one band or in neighbouring ones."""
+    return F.when(n == 0, -1).otherwise(F.floor(F.log(n.cast("double")) / F.lit(BAND_WIDTH))).cast("int")
+
+
+def _class_counts(keys: list[str]) -> np.ndarray:
+    """How often each class of characters occurs in each headline."""
+    sizes = np.fromiter(map(len, keys), np.int64, len(keys))
+    codes = np.frombuffer("".join(keys).encode("utf-32-le", "surrogatepass"), np.uint32) % FOLDS
+    rows = np.repeat(np.arange(len(keys)), sizes)
+    return np.bincount(rows * FOLDS + codes, minlength=len(keys) * FOLDS).reshape(len(keys), FOLDS).astype(np.int32)
+
+
+def _tile_pairs(new: pd.DataFrame, kept: pd.DataFrame) -> list[tuple[int, int, float]]:
+    """(row of new, row of kept, ratio) of the pairs that reach it: counts by class for all pairs at once, then the bounds and
+    the ratio for those that are left."""
+    a_keys, b_keys = new["new_key"].tolist(), kept["kept_key"].tolist()
+    a_versions, b_versions = ([tuple(x) for x in frame] for frame in (new["new_versions"], kept["kept_versions"]))
+    a, b = _class_counts(a_keys), _class_counts(b_keys)
+    a_size, b_size = a.sum(1), b.sum(1)
+    matcher, found = SequenceMatcher(None), []
+    last, places = -1, {}
+    step = max(CELLS // max(b.size, 1), 1)
+    for at in range(0, len(a), step):
+        some = a[at:at + step]
+        total = a_size[at:at + step, None] + b_size[None, :]
+        apart = np.abs(some[:, None, :] - b[None, :, :]).sum(2)
+        for i, j in zip(*np.nonzero(total - apart >= RATIO * total - 1e-9)):
+            va, vb = a_versions[at + i], b_versions[j]
+            if not (va and vb and va != vb):
+                if at + i != last:
+                    last, places = at + i, _places(a_keys[at + i])
+                if 2 * _in_order(places, len(a_keys[last]), b_keys[j]) < RATIO * total[i, j] - 1e-9:
+                    continue
+                ratio = close_ratio(matcher, a_keys[last], b_keys[j])
+                if ratio >= RATIO:
+                    found.append((at + i, j, ratio))
+    return found
 
 
 def event_pairs(new: DataFrame, kept: DataFrame, scope: list[str]) -> DataFrame:
-    """Distinct (title_key, versions) pairs naming one event: `scope`, new_*, kept_*, ratio.
+    """Distinct (title_key, versions) pairs naming one event: `scope`, new_*, kept_*, ratio. All of them: what
+    `sketched_pairs` may miss is found, at the price of comparing the character counts of all headlines of like length.
 
     `new` and `kept` hold `scope`, `title_key` and `versions`. Pairs are between distinct
     headlines, never between rows; callers join rows back on the key.
     """
     # Each side is read twice below, so its distinct headlines are written once.
-    new = stored(new.select(*scope, "title_key", "versions").distinct(), "headlines")
-    kept = stored(kept.select(*scope, "title_key", "versions").distinct(), "headlines")
-    sides = new.withColumn("_new", F.lit(1)).unionByName(kept.withColumn("_new", F.lit(0)))
-    tokens = sides.select(*scope, "_new", F.explode(character_tokens(F.col("title_key"))).alias("token"))
-    # Headlines per scope and character occurrence, counted once and read back.
-    sizes = stored(tokens.groupBy(*scope, "token").agg(F.count("*").alias("n"), F.sum("_new").alias("n_new")), "tokens")
-    # One row per character occurrence in use: small by nature, still checked before the hint.
-    weights = broadcast_if_small(sizes.groupBy("token").agg(F.sum("n").alias("weight")))
-    # A token shared by very many headlines of a scope is spread over several reducers.
-    hot = broadcast_if_small(sizes.filter(F.col("n_new") > ROWS_PER_SALT).select(
-        *scope, "token", F.ceil(F.col("n_new") / ROWS_PER_SALT).cast("int").alias("salts")))
-    left = _postings(new, scope, weights, hot, "new", F.pmod(F.xxhash64("new_key"), F.col("salts")).cast("int"))
-    right = _postings(kept, scope, weights, hot, "kept", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    bound = (F.col("new_n") + F.col("kept_n")) * F.lit(RATIO / 2) - F.lit(1e-9)
-    # No more characters can be shared than follow the first shared one (its posting always survives
-    # this), nor more than the counts per character class allow.
-    follow = F.least(F.col("new_n") - F.col("new_pos"), F.col("kept_n") - F.col("kept_pos"))
-    apart = sum((F.abs(F.col(f"new_c{i}") - F.col(f"kept_c{i}")) for i in range(FOLDS)), F.lit(0))
-    pair = [*scope, "new_key", "new_versions", "kept_key", "kept_versions"]
-    near = left.join(right, [*scope, "token", "salt"]).filter(
-        (follow >= bound) & (F.col("new_n") + F.col("kept_n") - apart >= 2 * bound)
-        & ~versions_conflict(F.col("new_versions"), F.col("kept_versions"))).select(*pair).distinct()
-    # The ratio is costly per row, so its input is cut by row count rather than by bytes.
-    near = near.repartition(int(new.sparkSession.conf.get("spark.sql.shuffle.partitions")), "new_key", "kept_key")
-    return near.withColumn("ratio", headline_ratio("new_key", "kept_key")).filter(F.col("ratio") >= RATIO)
+    sides = []
+    for frame, name in ((new, "new"), (kept, "kept")):
+        frame = frame.select(*scope, F.col("title_key").alias(f"{name}_key"), F.col("versions").alias(f"{name}_versions")).distinct()
+        sides.append(stored(frame.withColumn("band", _length_band(F.length(f"{name}_key"))), "headlines"))
+    new, kept = sides
+    near_bands = F.explode(F.when(F.col("band") < 0, F.array("band")).otherwise(F.sequence(F.greatest(F.col("band") - 1, F.lit(0)), F.col("band") + 1)))
+    new = new.withColumn("band", near_bands)
+    group = [*scope, "band"]
+
+    def tiles(frame: DataFrame, name: str) -> DataFrame:
+        return frame.groupBy(*group).agg(F.ceil(F.count("*") / TILE).cast("int").alias(name))
+
+    # Bands without both sides have no tile; hot ones are dealt into tiles, and every pair of tiles meets in a task.
+    dealt = broadcast_if_small(stored(tiles(new, "new_tiles").join(tiles(kept, "kept_tiles"), group), "tiles"))
+    a = new.join(dealt, group).withColumn("a", F.pmod(F.xxhash64("new_key"), F.col("new_tiles")).cast("int")).withColumn(
+        "b", F.explode(F.sequence(F.lit(0), F.col("kept_tiles") - 1)))
+    b = kept.join(dealt, group).withColumn("b", F.pmod(F.xxhash64("kept_key"), F.col("kept_tiles")).cast("int")).withColumn(
+        "a", F.explode(F.sequence(F.lit(0), F.col("new_tiles") - 1)))
+    pair = ["new_key", "new_versions", "kept_key", "kept_versions"]
+    types = {f.name: f.dataType for f in [*new.schema, *kept.schema]}
+    schema = T.StructType([*[T.StructField(c, types[c]) for c in [*scope, *pair]], T.StructField("ratio", T.DoubleType())])
+
+    def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        found = _tile_pairs(left, right) if len(left) and len(right) else []
+        i, j, ratio = (list(c) for c in zip(*found)) if found else ([], [], [])
+        out = left.iloc[i].reset_index(drop=True)
+        for c in ("kept_key", "kept_versions"):
+            out[c] = right[c].iloc[j].reset_index(drop=True)
+        return out.assign(ratio=ratio)[schema.names].astype({"ratio": "float64"})
+
+    # Comparing is costly per row, so tiles are dealt by number and not merged by bytes.
+    key = [*group, "a", "b"]
+    parts = int(new.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    a = a.select(*key, "new_key", "new_versions").repartition(parts, *key)
+    b = b.select(*key, "kept_key", "kept_versions").repartition(parts, *key)
+    return a.groupBy(*key).cogroup(b.groupBy(*key)).applyInPandas(meet, schema)
 
 
 def exclude_published(articles: DataFrame, history: DataFrame, scope: list[str], events: bool = True) -> DataFrame:

@@ -56,23 +56,34 @@ def collapse_release_bursts(spark, sf):
     return dd.collapse_release_bursts(kits, "doc_id").select("doc_id")
 
 
-BATCH = "doc_id % 4 = 0"
+BATCH, TABLE = "doc_id % 3 <> 0", "doc_id % 3 = 0"  # every article is in the batch or in the table
 
 
 @query("exclude_known", v.sql(v.V_ARTICLES, select=f"""
-SELECT doc_id FROM v_articles WHERE {BATCH} AND original_url NOT IN (SELECT original_url FROM v_articles WHERE doc_id % 2 = 1)
-  AND fingerprint NOT IN (SELECT fingerprint FROM v_articles WHERE doc_id % 2 = 1)"""))
+SELECT doc_id FROM v_articles WHERE {BATCH} AND original_url NOT IN (SELECT original_url FROM v_articles WHERE {TABLE})
+  AND fingerprint NOT IN (SELECT fingerprint FROM v_articles WHERE {TABLE})"""))
 def exclude_known(spark, sf):
     art = v.articles(spark, sf, labels=False).select("doc_id", "original_url", "fingerprint")
-    return dd.exclude_known(art.filter(BATCH), art.filter("doc_id % 2 = 1")).select("doc_id")
+    return dd.exclude_known(art.filter(BATCH), art.filter(TABLE)).select("doc_id")
+
+
+# Rows admitted one by one in an order, unless their URL or fingerprint was admitted before.
+ADMIT_SQL = """
+, steps AS MATERIALIZED (SELECT doc_id, original_url, fingerprint, row_number() OVER (ORDER BY {order}) AS n FROM {rows}),
+walk AS (
+  SELECT 0::BIGINT AS n, NULL::BIGINT AS doc_id, {urls}::VARCHAR[] AS urls, {prints}::VARCHAR[] AS prints
+  UNION ALL
+  SELECT s.n, CASE WHEN fresh THEN s.doc_id END, CASE WHEN fresh THEN list_append(urls, s.original_url) ELSE urls END,
+         CASE WHEN fresh THEN list_append(prints, s.fingerprint) ELSE prints END
+  FROM (SELECT w.n AS last, urls, prints, s.*, NOT list_contains(urls, s.original_url) AND NOT list_contains(prints, s.fingerprint) AS fresh
+        FROM walk w JOIN steps s ON s.n = w.n + 1) s)"""
 
 
 @query("append_articles", v.sql(v.V_ARTICLES, select=f"""
-, fresh AS (SELECT * FROM v_articles WHERE {BATCH} AND original_url NOT IN (SELECT original_url FROM v_articles WHERE doc_id % 2 = 1)
-  AND fingerprint NOT IN (SELECT fingerprint FROM v_articles WHERE doc_id % 2 = 1))
-SELECT doc_id, strftime(published_date, '%Y-%m-%d') AS published_date FROM v_articles WHERE doc_id % 2 = 1
-UNION ALL SELECT doc_id, strftime(published_date, '%Y-%m-%d') FROM (
-  SELECT *, row_number() OVER (PARTITION BY fingerprint ORDER BY published_at DESC, doc_id) AS rn FROM fresh) WHERE rn = 1"""))
+, batch AS (SELECT * FROM v_articles WHERE {BATCH}), held AS (SELECT * FROM v_articles WHERE {TABLE})""" + ADMIT_SQL.format(
+    order="published_at DESC, doc_id", rows="batch", urls="(SELECT list(original_url) FROM held)", prints="(SELECT list(fingerprint) FROM held)") + """
+SELECT doc_id, strftime(published_date, '%Y-%m-%d') AS published_date FROM held
+UNION ALL SELECT a.doc_id, strftime(published_date, '%Y-%m-%d') FROM walk JOIN v_articles a ON walk.doc_id = a.doc_id""").replace("WITH ", "WITH RECURSIVE ", 1))
 def append_articles(spark, sf):
     """Write the stored half as a table, append the admissible part of the batch, read it back."""
     from broadsheet.session import new_folder
@@ -80,7 +91,7 @@ def append_articles(spark, sf):
 
     art = v.articles(spark, sf, labels=False).select("doc_id", "original_url", "fingerprint", "published_at", "published_date")
     path = new_folder(spark, "articles")
-    tb.write_articles(art.filter("doc_id % 2 = 1"), path)
+    tb.write_articles(art.filter(TABLE), path)
     tb.append_articles(art.filter(BATCH), path, seq="doc_id")
     return spark.read.parquet(path).select("doc_id", F.col("published_date").cast("string"))
 
@@ -147,6 +158,13 @@ def event_pairs(spark, sf):
     return lk.event_pairs(keyed, keyed, ["feed_id", "published_date"])
 
 
+@query("sketched_pairs")
+def sketched_pairs(spark, sf):
+    """Headlines of one feed, on any day, that report the same event, by their sketches; the ratio of each pair."""
+    keyed = v.articles(spark, sf, labels=False).select("feed_id", *lk.event_key(F.col("title")))
+    return lk.sketched_pairs(keyed, keyed, ["feed_id"])
+
+
 WINDOW_SQL = "a.published_at BETWEEN e.now_ts - INTERVAL 168 HOUR AND e.now_ts + INTERVAL 10 MINUTE"
 
 

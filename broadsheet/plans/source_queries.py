@@ -50,7 +50,7 @@ def _feed_captures(spark, sf):
     def safe(column):
         return F.replace(F.replace(F.regexp_replace(column, r"[^\x{20}-\x{D7FF}]", " "), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
 
-    item = F.concat(F.lit("<item><title>"), safe(F.substring("text", 1, 40)), F.lit("</title><link>"),
+    item = F.concat(F.lit("<item><title>"), safe(F.col("text")), F.lit("</title><link>"),
                     F.when(F.col("doc_id") % 7 == 0, "http://example.com/").otherwise("https://example.com/"), F.col("doc_id"),
                     F.lit("</link><pubDate>"), F.lit("Mon, 01 Jan 2024 00:00:00 +0000"), F.lit("</pubDate></item>"))
     rows = doc.select((F.col("doc_id") / 50).cast("bigint").cast("string").alias("source_id"), F.struct("doc_id", item.alias("x")).alias("i"))

@@ -68,15 +68,17 @@ def classify(spark, sf):
     return df.select("*", ru.channel_of(F.col("category"), chans).alias("channel"))
 
 
-@query("version_set", r"""
-SELECT doc_id, array_to_string(list_sort(list_distinct(regexp_extract_all(lower(text), 'v?(\d+\.\d+)(\.\d+)?', 1))), ',') AS versions
-FROM (SELECT doc_id, regexp_replace(regexp_replace(lower(text), '[\p{L}\p{N}_]*[^\x00-\x7f][^\s]*', ' ', 'g'), '[a-z_0-9]*[a-uw-z_][v0-9.]+', ' ', 'g') AS text FROM documents)""")
+# The SQL engine's word border only knows ASCII, so borders are spelled out over doubled separators.
+VERSION_SQL = r"""
+SELECT doc_id, array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(
+  regexp_replace(lower(text), '([^\p{L}\p{M}\p{N}_])', '\1\1', 'g'),
+  '(?:^|[^\p{L}\p{M}\p{N}_])v?(\d+\.\.\d+)(?:\.\.\d+)?(?:$|[^\p{L}\p{M}\p{N}_])', 1), lambda x: replace(x, '..', '.')))), ',') AS versions
+FROM documents"""
+
+
+@query("version_set", VERSION_SQL)
 def version_set(spark, sf):
-    # Words with non-ASCII letters or a letter before the number are blanked on both sides: the SQL
-    # engine's word border only knows ASCII.
-    plain = F.regexp_replace(F.lower("text"), r"[\p{L}\p{N}_]*[^\x00-\x7f][^\s]*", " ")
-    plain = F.regexp_replace(plain, r"[a-z_0-9]*[a-uw-z_][v0-9.]+", " ")
-    return v.table(spark, sf, "documents").select("doc_id", F.array_join(tx.version_set(plain), ",").alias("versions"))
+    return v.table(spark, sf, "documents").select("doc_id", F.array_join(tx.version_set(F.col("text")), ",").alias("versions"))
 
 
 @query("title_key", v.sql(v.V_BASE, select=r"SELECT doc_id, regexp_replace(replace(lower(title), 'ß', 'ss'), '[^\p{L}\p{N}_]', '', 'g') AS title_key FROM v_base"))

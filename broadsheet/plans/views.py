@@ -46,7 +46,7 @@ def articles(spark: SparkSession, sf_dir: str, labels: bool = True) -> DataFrame
         doc,
         (doc % 3).cast("int").alias("feed_id"),
         F.concat(F.lit("https://example.com/"), url_id.cast("string")).alias("original_url"),
-        F.substring(F.split_part("text", F.lit("\n"), F.lit(1)), 1, 120).alias("title"),
+        F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"),
         F.col("text").alias("raw_text"),
         F.timestamp_seconds(F.lit(EPOCH) + (doc * 37 % 720) * 3600).alias("published_at"),
         "source",
@@ -85,6 +85,8 @@ def enrichments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A cached rendering for every labelled, verified article; a few are stale or mismatched."""
     doc = F.col("doc_id")
     df = articles(spark, sf_dir).filter(F.col("importance").isNotNull())
+    half = F.ceil(F.length("raw_text") / 2).cast("int")  # the halves of the whole text are its two renderings
+    first, second = F.substr("raw_text", F.lit(1), half), F.substr("raw_text", half + 1)
     return df.select(
         doc, F.col("id").alias("article_id"),
         F.when(doc % 17 == 0, "old-task").otherwise(fv.ENRICH_TASK).alias("task"),
@@ -93,10 +95,8 @@ def enrichments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("title").alias("title_original"), F.col("title").alias("title_en"), F.col("title").alias("title_cn"),
         F.when(doc % 23 == 0, "elsewhere").otherwise(F.col("source")).alias("source"),
         "published_at", "original_url", "category",
-        F.substring("raw_text", 1, 200).alias("what_happened_en"),
-        F.substring("raw_text", 1, 200).alias("what_happened"),
-        F.when(doc % 29 == 0, "").otherwise(F.substring("raw_text", 201, 200)).alias("why_it_matters_en"),
-        F.substring("raw_text", 201, 200).alias("why_it_matters"),
+        first.alias("what_happened_en"), first.alias("what_happened"),
+        F.when(doc % 29 == 0, "").otherwise(second).alias("why_it_matters_en"), second.alias("why_it_matters"),
         F.col("importance").alias("importance_score"),
     )
 
@@ -201,7 +201,7 @@ V_BASE = """
 v_base AS (
   SELECT doc_id, CAST(doc_id % 3 AS INTEGER) AS feed_id,
     'https://example.com/' || CAST(CASE WHEN doc_id % 25 = 24 THEN doc_id - 1 ELSE doc_id END AS VARCHAR) AS original_url,
-    substr(split_part(text, chr(10), 1), 1, 120) AS title, text AS raw_text,
+    split_part(text, chr(10), 1) AS title, text AS raw_text,
     TIMESTAMP '2024-01-01' + to_hours(CAST((doc_id * 37) % 720 AS INTEGER)) AS published_at,
     CAST(TIMESTAMP '2024-01-01' + to_hours(CAST((doc_id * 37) % 720 AS INTEGER)) AS DATE) AS published_date,
     source, lang AS language, CAST(1 + doc_id % 4 AS INTEGER) AS source_tier,
@@ -231,9 +231,9 @@ v_enrichments AS (SELECT doc_id, id AS article_id,
     CASE WHEN doc_id % 19 = 0 THEN '' ELSE 'model-a' END AS model,
     published_at + INTERVAL 1 HOUR AS generated_at, title AS title_original, title AS title_en, title AS title_cn,
     CASE WHEN doc_id % 23 = 0 THEN 'elsewhere' ELSE source END AS source, published_at, original_url, category,
-    substr(raw_text, 1, 200) AS what_happened_en, substr(raw_text, 1, 200) AS what_happened,
-    CASE WHEN doc_id % 29 = 0 THEN '' ELSE substr(raw_text, 201, 200) END AS why_it_matters_en,
-    substr(raw_text, 201, 200) AS why_it_matters, importance AS importance_score
+    substr(raw_text, 1, (length(raw_text) + 1) // 2) AS what_happened_en, substr(raw_text, 1, (length(raw_text) + 1) // 2) AS what_happened,
+    CASE WHEN doc_id % 29 = 0 THEN '' ELSE substr(raw_text, (length(raw_text) + 1) // 2 + 1) END AS why_it_matters_en,
+    substr(raw_text, (length(raw_text) + 1) // 2 + 1) AS why_it_matters, importance AS importance_score
   FROM v_ids WHERE importance IS NOT NULL)"""
 
 V_HEALTH = """

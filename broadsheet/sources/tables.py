@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from broadsheet.operators.dedup import colliding, new_articles
+from broadsheet.operators.dedup import first_of_both
 from broadsheet.session import stored
+from broadsheet.sources import keys
 
 
 def write_articles(df: DataFrame, path: str) -> None:
@@ -16,11 +17,21 @@ def write_articles(df: DataFrame, path: str) -> None:
 
 
 def append_articles(batch: DataFrame, path: str, seq: str = "seq") -> DataFrame:
-    """Append what the table does not hold yet and return it (single writer: nothing enforces keys)."""
-    known = colliding(batch.sparkSession.read.parquet(path), batch)
-    # Stored first: the append must not re-read a table it is changing.
-    fresh = stored(new_articles(batch, known, seq), "fresh")
+    """Append what the table does not hold yet and return it (single writer: nothing enforces keys).
+
+    Known keys are looked up in the table's key index, of which only the touched buckets are read; a table without one gets it
+    here. Should a run end between table and index, `keys.rebuild_keys` makes them agree again.
+    """
+    spark = batch.sparkSession
+    batch = stored(batch, "batch")
+    part = keys.next_part(spark, path)
+    if part == 0:
+        keys.rebuild_keys(spark, path)
+        part = 1
+    # Stored first: the append must not re-read an index it is changing.
+    fresh = stored(first_of_both(keys.unknown(batch, path), seq), "fresh")
     write_articles(fresh, path)
+    keys.write_keys(fresh, path, part)
     return fresh
 
 

@@ -48,3 +48,22 @@ def test_fold_hours(spark):
     got = {r.source_id: r for r in sh.fold_hours(spark.createDataFrame(rows, sh.PARTIAL)).collect()}
     assert (got[1].consecutive_failures, got[1].sample_count) == (3, 7)
     assert (got[2].consecutive_failures, got[2].late_count) == (0, 1)
+
+
+def test_a_table_from_before_the_stream_is_indexed(spark):
+    folder = new_folder(spark, "older")
+    spark.createDataFrame([article(9, "u1", "f9", 5)], ROWS).write.partitionBy("published_date").parquet(f"{folder}/table")
+    for n, rows in enumerate([[article(1, "u1", "f1", 5), article(2, "u2", "f2", 4)], [article(3, "u3", "f9", 3), article(4, "u4", "f4", 2)]]):
+        spark.createDataFrame(rows, ROWS).coalesce(1).write.parquet(f"{folder}/in/part={n}")
+    before = {r.seq for r in spark.read.parquet(f"{folder}/table").collect()}
+    stream = spark.readStream.schema(spark.createDataFrame([], ROWS).schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in/part=*")
+    rows = stream.select("seq", "original_url", "fingerprint", "published_at", "published_date")
+    seen = []
+    for batch_id, part in enumerate(("0", "1")):
+        batch = spark.read.schema(rows.schema).parquet(f"{folder}/in/part={part}")
+        from broadsheet.sources import keys
+
+        if keys.unknown(batch, f"{folder}/table") is None:
+            sa._index(spark, f"{folder}/table", batch_id)
+        seen += [r.seq for r in dd.first_of_both(keys.unknown(batch, f"{folder}/table")).collect()]
+    assert before == {9} and sorted(seen) == [2, 4]
