@@ -75,21 +75,25 @@ def first_published(past: DataFrame, key: list[str], name: str) -> DataFrame:
     return past.groupBy("feed_id", *key).agg(F.min("report_date").alias(name))
 
 
+def comparable(features: DataFrame) -> DataFrame:
+    """Rows that the event gate may have to judge: those that another gate drops in every edition are never compared."""
+    return features.filter(F.col("editorial") & (F.col("source_tier") <= 3) & (F.col("source_role") != "discovery")
+                           & (F.col("verification_status") == "source_verified"))
+
+
 def candidate_pool(features: DataFrame, editions: DataFrame, history: DataFrame, events: bool = True,
-                   layers: DataFrame | None = None) -> DataFrame:
+                   layers: DataFrame | None = None, pairs: DataFrame | None = None) -> DataFrame:
     """Every article in every edition's window with its level, score and the first gate it fails.
 
     `gate` is NULL for pool members. With `layers` (id, supply_layer), reserve articles keep
-    level 4 beyond the window.
+    level 4 beyond the window. `pairs` are event pairs found before, of all headlines the history can hold.
     """
     past = keyed_history(history)
     known = features.join(first_published(past, ["fingerprint"], "print_since"), ["feed_id", "fingerprint"], "left")
     known = known.join(first_published(past, ["url_key"], "url_since"), ["feed_id", "url_key"], "left")
     if events:
-        # Rows another gate drops in every edition are never compared.
-        open_ = features.filter(F.col("editorial") & (F.col("source_tier") <= 3) & (F.col("source_role") != "discovery")
-                                & (F.col("verification_status") == "source_verified"))
-        pairs = lk.event_pairs(open_, past, ["feed_id"])
+        if pairs is None:
+            pairs = lk.event_pairs(comparable(features), past, ["feed_id"])
         first = first_published(past, ["title_key", "versions"], "since").withColumnsRenamed(
             {"title_key": "kept_key", "versions": "kept_versions"})
         since = pairs.join(first, ["feed_id", "kept_key", "kept_versions"]).groupBy(
@@ -419,9 +423,9 @@ def _without_known_duplicates(pool: DataFrame, sure: DataFrame) -> DataFrame:
     return pool.join(doubles.filter(out).select(*EDITION, "id").distinct(), [*EDITION, "id"], "left_anti")
 
 
-def _pick_editions(pool: DataFrame, picker, keep: int, rules: dict, limit: int | None, layered: bool) -> DataFrame:
-    """Run the picker over all editions; editions stopped by a cut class run again on a thinner pool. Then every row of the
-    whole pool gets its decision."""
+def _picks(pool: DataFrame, picker, keep: int) -> tuple[DataFrame, DataFrame]:
+    """The whole pool as written, and the chosen rows of all editions; editions stopped by a cut class run again on a thinner
+    pool."""
     if keep <= fv.RULES["maximum"]:
         raise ValueError("the shortlist must hold more rows per class than an edition has places")
     pool = pool.withColumn("major", F.col("importance") >= fv.RULES["major_score"]).withColumn(
@@ -436,11 +440,16 @@ def _pick_editions(pool: DataFrame, picker, keep: int, rules: dict, limit: int |
         finished = result.join(open_editions, EDITION, "left_anti")
         done = finished if done is None else done.unionByName(finished)
         if open_editions.isEmpty():
-            return reasons.decided(whole, done, rules, limit, layered)
+            return whole, done
         pool = pool.join(open_editions, EDITION, "left_semi")
         pool = stored(_without_known_duplicates(pool, result.filter("state = 'sure'").select(*EDITION, "id")), "pool")
 
 
+def _pick_editions(pool: DataFrame, picker, keep: int, rules: dict, limit: int | None, layered: bool) -> DataFrame:
+    """The picks of all editions, then the decision on every row of the whole pool."""
+    return reasons.decided(*_picks(pool, picker, keep), rules, limit, layered)
+
+
 def select_edition(pool: DataFrame, rules: dict = fv.RULES, limit: int | None = None, keep: int = SHORTLIST) -> DataFrame:
     """The decision on every row of `pool` (rows without a gate): its place in the edition, or why it has none."""
     return _pick_editions(pool.withColumn("layer", F.lit("single")), _greedy(rules, limit, keep), keep, rules, limit, layered=False)
@@ -525,18 +534,46 @@ def profile_counts(picked: DataFrame, keys: list[str], dimensions=("category", "
     return picked.select(*keys, pairs.alias("p")).groupBy(*keys, "p.dimension", "p.value").agg(F.count("*").alias("n"))
 
 
-def replay_editions(features: DataFrame, history: DataFrame, dates: list, rules: dict = fv.RULES, events: bool = True) -> DataFrame:
-    """Day after day, each day's picks become history for the next; every step covers all feeds."""
-    past = keyed_history(history)
+def replay_editions(features: DataFrame, history: DataFrame, dates: list, folder: str, rules: dict = fv.RULES, events: bool = True,
+                    keep: int = SHORTLIST) -> DataFrame:
+    """Day after day, each day's picks become history for the next; every step covers all feeds. Returns feed_id, report_date,
+    id and pick of all days.
+
+    The picks are a table under `folder`, one partition a day, written once; a day reads those before it. A day that was
+    written is not run again, so a replay that was broken off goes on where it stopped. Event pairs among all headlines that can
+    become history are found once, before the first day, and each day only looks up which of them are published by then.
+    """
+    spark = features.sparkSession
+    cols = ["feed_id", "report_date", "fingerprint", "url_key", "title_key", "versions"]
+    before = stored(keyed_history(history).select(*cols), "history")
     keys = features.select("feed_id", "id", "fingerprint", "url_key", "title_key", "versions")
-    out: DataFrame | None = None
     feeds = stored(features.select("feed_id").distinct(), "feeds")
+    pairs = None
+    if events:
+        heads = keys.select("feed_id", "title_key", "versions").unionByName(before.select("feed_id", "title_key", "versions"))
+        pairs = stored(lk.event_pairs(comparable(features), heads, ["feed_id"]), "pairs")
+    days_path = f"{folder.rstrip('/')}/days"
+    schema = "feed_id int, id string, pick int, day date"
+
+    done: list = []
     for day in dates:
-        editions = feeds.select("feed_id", F.lit(day).cast("date").alias("report_date")).withColumn(
-            "now_ts", F.col("report_date").cast("timestamp"))
-        pool = candidate_pool(features, editions, past, events=events).filter("gate is null")
-        picked = stored(select_edition(pool, rules).filter("state = 'picked'"), "day")
-        new = picked.select("feed_id", "report_date", "id").join(keys, ["feed_id", "id"]).select(*past.columns)
-        past = stored(past.unionByName(new), "past")
-        out = picked if out is None else out.unionByName(picked)
-    return out
+        if not _exists(spark, f"{days_path}/day={day}/_SUCCESS"):
+            past = before
+            if done:  # only the folders of days that count are listed
+                picks = spark.read.schema(schema).option("basePath", days_path).parquet(*[f"{days_path}/day={d}" for d in done])
+                past = past.unionByName(picks.join(keys, ["feed_id", "id"]).withColumnRenamed("day", "report_date").select(*cols))
+            editions = feeds.select("feed_id", F.lit(day).cast("date").alias("report_date")).withColumn(
+                "now_ts", F.col("report_date").cast("timestamp"))
+            pool = candidate_pool(features, editions, past, events=events, pairs=pairs).filter("gate is null").withColumn("layer", F.lit("single"))
+            _, picked = _picks(pool, _greedy(rules, None, keep), keep)
+            picked.filter("pick is not null").select("feed_id", "id", "pick").write.mode("overwrite").parquet(f"{days_path}/day={day}")
+        done.append(day)
+    if not done:
+        return spark.createDataFrame([], "feed_id int, report_date date, id string, pick int")
+    out = spark.read.schema(schema).option("basePath", days_path).parquet(*[f"{days_path}/day={d}" for d in done])
+    return out.select("feed_id", F.col("day").alias("report_date"), "id", "pick")
+
+
+def _exists(spark, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

@@ -168,13 +168,14 @@ def event_dedup_first(spark, sf):
 
 @query("replay_editions")
 def replay_editions(spark, sf):
-    """Five days in a row; each day's picks are history for the next."""
-    from broadsheet.session import stored
+    """All days of the editions in a row, after the published history; each day's picks are history for the next."""
+    from broadsheet.session import new_folder, stored
 
     rows = stored(features(spark, sf), "features")
-    days = [dt.date(2024, 1, 10) + dt.timedelta(days=n) for n in range(5)]
-    empty = v.history(spark, sf).filter("false")
-    return se.replay_editions(rows, empty, days).withColumn("report_date", F.col("report_date").cast("string"))
+    span = v.editions(spark, sf).agg(F.min("report_date").alias("first"), F.max("report_date").alias("last")).first()
+    days = [span["first"] + dt.timedelta(days=n) for n in range((span["last"] - span["first"]).days + 1)]
+    out = se.replay_editions(rows, v.history(spark, sf), days, new_folder(spark, "replay"))
+    return out.withColumn("report_date", F.col("report_date").cast("string"))
 
 
 # --- reserve ---------------------------------------------------------------------------
