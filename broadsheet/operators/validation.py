@@ -19,7 +19,7 @@ SCHEMA = T.StructType([
 
 
 def _filled(text: Column) -> Column:
-    return F.coalesce(F.length(F.trim(text)) > 0, F.lit(False))
+    return F.coalesce(text.rlike(r"(?U)\S"), F.lit(False))
 
 
 def _strings(values: Column) -> Column:
@@ -94,21 +94,30 @@ def apply_field_repair(items: DataFrame, fields: str, repairs: str, allowed: str
 def bilingual_fact_check(rows: DataFrame) -> DataFrame:
     """Add `issue`: the first disagreement between the English and Chinese fields (NULL = none).
 
-    Rows hold the six text fields and `core_facts`.
+    Rows hold the six text fields and `core_facts`. A missing text counts as empty.
     """
-    pairs = F.struct(
-        F.col("title_en"), F.col("title_cn").alias("title_zh"), F.col("what_happened_en"), F.col("what_happened").alias("what_happened_zh"),
-        F.col("why_it_matters_en"), F.col("why_it_matters").alias("why_it_matters_zh"), F.col("core_facts"))
-    out = rows.withColumn("_issue", fc.first_issue(pairs))
-    return out.withColumn("issue", F.when(F.col("_issue.stage").isNotNull(), F.col("_issue"))).drop("_issue")
+    pairs = {f: (f"{f}_en", "title_cn" if f == "title" else f) for f in fv.FIELD_NAMES}
+    out = rows.withColumn("_facts", fc.hard_facts(F.col("core_facts"))).withColumn("_names", fc.names_of(F.col("_facts")))
+    # Each text is searched once for all names of its batch.
+    out = out.withColumns({f"_in_{c}": fc.named(F.coalesce(c, F.lit("")), F.col("_names")) for pair in pairs.values() for c in pair})
+    texts = {f: [F.coalesce(c, F.lit("")) for c in pair] for f, pair in pairs.items()}
+    out = out.withColumns({f"_{f}": fc.field_issue(*texts[f], F.col("_facts"), *[F.col(f"_in_{c}") for c in pairs[f]]) for f in pairs})
+
+    def first(field: str) -> Column:
+        found = F.col(f"_{field}")
+        repair = F.when(found["stage"] == "hard_facts", fv.REPAIR_FIELDS[field]["zh"])
+        reason = F.concat(F.lit(f"{field}: "), found["reason"])
+        return F.when(found.isNotNull(), F.struct(found["stage"].alias("stage"), F.lit(field).alias("field"), reason.alias("reason"),
+                                                  repair.alias("repair_field")))
+
+    out = out.withColumn("issue", F.coalesce(*[first(f) for f in fv.FIELD_NAMES]).cast(fc.ISSUE))
+    return out.drop("_facts", "_names", *[f"_{f}" for f in pairs], *[f"_in_{c}" for pair in pairs.values() for c in pair])
 
 
 def literal_check(rows: DataFrame) -> DataFrame:
     """Add `literal_issue`: first field whose numbers, versions or dates differ."""
-    checks = [(f, fc.first_literal_issue(F.col(f"{f}_en"), F.col("title_cn" if f == "title" else f))) for f in fv.FIELD_NAMES]
-    out = rows.withColumns({f"_{f}": check for f, check in checks})
-    issue = F.coalesce(*[F.when(F.col(f"_{f}").isNotNull(), F.concat(F.lit(f"{f}: "), F.col(f"_{f}"))) for f, _ in checks])
-    return out.withColumn("literal_issue", issue).drop(*[f"_{f}" for f, _ in checks])
+    issues = [F.concat(F.lit(f"{f}: "), fc.literal_issue(F.col(f"{f}_en"), F.col("title_cn" if f == "title" else f))) for f in fv.FIELD_NAMES]
+    return rows.withColumn("literal_issue", F.coalesce(*issues))
 
 
 def field_issue(item_columns=TEXT_FIELDS) -> Column:
