@@ -83,8 +83,8 @@ def _view_stage_match(view_stage: str) -> Column:
     return stage.isin(view_stage, f"final_{view_stage}")
 
 
-def stage_states(decisions: DataFrame) -> DataFrame:
-    """State of the six view stages per article in one aggregate.
+def stage_states(decisions: DataFrame, keys: tuple[str, ...] = ("article_id",)) -> DataFrame:
+    """State of the six view stages per article (or per run and article, by `keys`) in one aggregate.
 
     A stage without a decision is `not_reached` only if an earlier stage dropped the article;
     otherwise it is NULL (not observable).
@@ -99,7 +99,7 @@ def stage_states(decisions: DataFrame) -> DataFrame:
         hit = (status == "dropped") & (stage.startswith("adapter_") | stage.isin(*terminal))
         aggregates.append(F.bool_or(hit).alias(f"blocked_{view_stage}"))
     aggregates.append(F.bool_or((status == "dropped") & stage.startswith("adapter_")).alias("blocked_collected"))
-    wide = decisions.groupBy("article_id").agg(*aggregates)
+    wide = decisions.groupBy(*keys).agg(*aggregates)
 
     def state(view_stage: str) -> Column:
         chain = F.when(F.col(f"last_{view_stage}").isNotNull(), F.col(f"last_{view_stage}"))
@@ -109,7 +109,7 @@ def stage_states(decisions: DataFrame) -> DataFrame:
             chain = chain.when(F.col("historical"), "not_in_current_run")
         return chain.when(F.col(f"blocked_{view_stage}"), "not_reached").alias(view_stage)
 
-    return wide.select("article_id", *[state(s) for s in fv.VIEW_STAGES])
+    return wide.select(*keys, *[state(s) for s in fv.VIEW_STAGES])
 
 
 def article_outcomes(decisions: DataFrame, members: DataFrame, skipped_reason: Column | None = None) -> DataFrame:

@@ -480,7 +480,7 @@ def select_layered(pool: DataFrame, rules: dict = fv.RULES, limit: int | None =
     outside = pool.filter(F.col("layer").isNull()).select(
         *EDITION, "id", "layer", F.col("level").cast("int").alias("level"), "score", F.col("importance").cast("int").alias("importance"),
         F.lit(None).cast("int").alias("pick"), F.lit("dropped").alias("state"), F.lit("outside_eligible_supply_layers").alias("reason"),
-        F.lit(None).cast("string").alias("duplicate_of"))
+        F.lit(None).cast("string").alias("duplicate_of"), F.lit(False).alias("filled"))
     return out.unionByName(outside)
 
 
@@ -534,6 +534,45 @@ def profile_counts(picked: DataFrame, keys: list[str], dimensions=("category", "
     return picked.select(*keys, pairs.alias("p")).groupBy(*keys, "p.dimension", "p.value").agg(F.count("*").alias("n"))
 
 
+def edition_diagnostics(pool: DataFrame, decisions: DataFrame, rules: dict = fv.RULES, limit: int | None = None) -> DataFrame:
+    """One row per edition and value of a dimension, from one pass of grouping sets over the pool and its decisions: (feed_id,
+    report_date, dimension, value, eligible, selected), dimension `edition` with the edition's own figures besides.
+
+    `eligible` counts pool members and `selected` picks. For the edition: deep_read_candidates (pool), shortfall, explore_count,
+    sources, source_limit (of a source's picks) and diversity_exception: a source has more picks, or deferred rows filled the
+    edition up.
+    """
+    picked = F.col("state") == "picked"
+    major = F.col("importance") >= rules["major_score"]
+    rows = pool.join(decisions.select(*EDITION, "id", "state", "filled"), [*EDITION, "id"]).select(
+        *EDITION, F.col("level").cast("string").alias("level"), "category", F.when(F.col("deep"), "deep_read").otherwise(F.col("channel")).alias("channel"), "source",
+        "deep", "filled", picked.alias("picked"), major.alias("major"), (F.col("level") <= 2).alias("recent"))
+    dimensions = ["level", "category", "channel", "source"]
+    sets = [[F.col(c) for c in (*EDITION, d)] for d in dimensions] + [[F.col(c) for c in EDITION]]
+    figures = [F.count(F.lit(1)).alias("eligible"), F.count_if("picked").alias("selected"), F.count_if("filled").alias("filled"), F.count_if("deep").alias("deep_read_candidates"),
+               F.count_if(F.col("picked") & ~F.col("category").isin(*rules["personal_categories"])).alias("explore_count"),
+               F.count_if(F.col("major") & F.col("recent")).alias("majors")]
+    # The id of a set has a bit for each column that it leaves out.
+    grouped = rows.groupingSets(sets, *EDITION, *dimensions).agg(F.grouping_id().alias("set"), *figures)
+    name = F.when(F.col("set") == 15, "edition")
+    value = F.lit(None).cast("string")
+    for n, d in enumerate(dimensions):
+        mine = F.col("set") == 15 - (8 >> n)
+        name, value = name.when(mine, d), F.when(mine, F.col(d)).otherwise(value)
+    counts = stored(grouped.select(*EDITION, name.alias("dimension"), value.alias("value"), *[c for c in grouped.columns if c not in (*EDITION, *dimensions, "set")]), "diagnostics")
+    whole = counts.filter("dimension = 'edition'")
+    places = F.least(F.when(F.col("majors") >= 10, rules["maximum"]).otherwise(rules["target"]), F.lit(limit or rules["maximum"]))
+    most = F.greatest(F.lit(1), F.floor(places * F.lit(float(rules["source_share"]))).cast("int"))
+    bounds = whole.select(*EDITION, most.alias("source_limit"))
+    spread_ = counts.filter((F.col("dimension") == "source") & (F.col("selected") > 0)).join(bounds, EDITION).groupBy(*EDITION).agg(
+        F.count("*").alias("sources"), F.max(F.col("selected") > F.col("source_limit")).alias("diversity_exception"))
+    edition = whole.join(bounds, EDITION).join(spread_, EDITION, "left").select(
+        *EDITION, "dimension", "value", "eligible", "selected", "deep_read_candidates", "explore_count",
+        F.greatest(F.lit(rules["minimum"]) - F.col("selected"), F.lit(0)).alias("shortfall"), F.coalesce("sources", F.lit(0)).alias("sources"),
+        "source_limit", (F.coalesce("diversity_exception", F.lit(False)) | (F.col("filled") > 0)).alias("diversity_exception"))
+    return edition.unionByName(counts.filter("dimension <> 'edition'").select(*EDITION, "dimension", "value", "eligible", "selected"), allowMissingColumns=True)
+
+
 def replay_editions(features: DataFrame, history: DataFrame, dates: list, folder: str, rules: dict = fv.RULES, events: bool = True,
                     keep: int = SHORTLIST) -> DataFrame:
     """Day after day, each day's picks become history for the next; every step covers all feeds. Returns feed_id, report_date,

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from broadsheet.plans import views as v
 from broadsheet.plans.catalog import query
+from broadsheet.plans.health_queries import STATES_SQL
 from broadsheet.plans.join_queries import ADMIT_SQL
 from broadsheet.sources import audits as sa
 
@@ -29,6 +30,43 @@ def pick_run(spark, sf):
     return sa.pick_run(runs, ["date"])
 
 
+def _saved_audits(spark, sf):
+    """The decisions written as saved audits, a run for each thousand orders and a JSON file for each run; an article is an order's
+    place in its thousand, so runs share articles. Files of every seventh run are cut off, those of some others have no date."""
+    from broadsheet.session import new_folder
+
+    run, article = F.floor(F.col("article_id") / 1000), F.col("article_id") % 1000
+    dec = v.decisions(spark, sf).select(run.cast("string").alias("run_id"), article.cast("string").alias("article_id"), "seq", "stage", "status", "reason")
+    event = F.struct("seq", F.struct("stage", "status", "reason").alias("e"))
+    rows = dec.groupBy("run_id", "article_id").agg(F.transform(F.sort_array(F.collect_list(event)), lambda x: x["e"]).alias("events"))
+    runs = rows.groupBy("run_id").agg(F.sort_array(F.collect_list(F.struct("article_id", F.concat(F.lit("http://example.com/"), "article_id").alias("original_url"), "events"))).alias("articles"))
+    n = F.col("run_id").cast("int")
+    date = F.when(n % 11 == 5, "some day").otherwise(F.concat(F.lit("2024-02-"), F.lpad((1 + n % 28).cast("string"), 2, "0")))
+    body = F.to_json(F.struct("run_id", date.alias("date"), F.concat(date, F.lit("T00:00:00")).alias("end_time"), "articles"))
+    body = F.when(n % 7 == 3, F.substr(body, F.lit(1), F.length(body) - 40)).otherwise(body)
+    folder = new_folder(spark, "saved-audits")
+    runs.select(F.col("run_id").alias("run"), body.alias("body")).repartition("run").write.partitionBy("run").text(folder)
+    return folder
+
+
+SAVED_SQL = v.sql(v.V_DECISIONS, select=""", saved AS (
+ SELECT * EXCLUDE (run_id, article_id), article_id // 1000 AS run, CAST(article_id // 1000 AS VARCHAR) AS run_id, CAST(article_id % 1000 AS VARCHAR) AS article_id FROM v_decisions)""")
+
+
+@query("saved_audits", SAVED_SQL + f" SELECT run_id, article_id, {STATES_SQL} FROM saved WHERE run % 7 <> 3 AND run % 11 <> 5 GROUP BY run_id, article_id")
+def saved_audits(spark, sf):
+    """Stage states of every article of every run, read back from the saved audits."""
+    from broadsheet import fixed_values as fv
+
+    return sa.article_rows(sa.read_run_audits(spark, _saved_audits(spark, sf))).select("run_id", "article_id", *fv.VIEW_STAGES)
+
+
+@query("quarantined_audits", SAVED_SQL + " SELECT DISTINCT run_id, CASE WHEN run % 7 = 3 THEN 'unreadable' ELSE 'no_date' END AS fault FROM saved WHERE run % 7 = 3 OR run % 11 = 5")
+def quarantined_audits(spark, sf):
+    out = sa.quarantined_audits(spark, _saved_audits(spark, sf))
+    return out.select(F.regexp_extract("file", r"run=(\d+)/", 1).alias("run_id"), "fault")
+
+
 @query("retroactive_audit", """
 SELECT doc_id AS article_id, CASE WHEN quality IS NOT NULL THEN CASE WHEN quality = 1 THEN 'accepted' ELSE 'rejected' END WHEN doc_id % 5 = 0 THEN 'batch_not_submitted' ELSE 'not_requested' END AS enrichment,
  CASE WHEN quality = 1 AND doc_id % 2 = 0 THEN 'publishable_candidate' WHEN quality = 0 THEN 'validation_failed' WHEN quality = 1 THEN 'final_selector_excluded'

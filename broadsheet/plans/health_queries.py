@@ -284,12 +284,15 @@ def _state_sql(stage: str, stages: tuple, blocked: tuple) -> str:
             f"WHEN count(*) FILTER (status = 'dropped' AND stage IN ({hit})) > 0 THEN 'not_reached' END AS {stage}")
 
 
-@query("stage_states", v.sql(v.V_DECISIONS, select="SELECT article_id, " + ", ".join([
+STATES_SQL = ", ".join([
     _state_sql("collected", ("collection",), ()), _state_sql("normalized", ("normalization",), ()),
     _state_sql("candidate", ("initial_candidate_pool",), ("normalization",)),
     _state_sql("enrichment", ("enrichment",), ("normalization",)),
     _state_sql("validation", ("validation",), ("normalization", "enrichment")),
-    _state_sql("publishable", ("publishable",), ("normalization", "enrichment", "validation"))]) + " FROM v_decisions GROUP BY article_id"))
+    _state_sql("publishable", ("publishable",), ("normalization", "enrichment", "validation"))])
+
+
+@query("stage_states", v.sql(v.V_DECISIONS, select="SELECT article_id, " + STATES_SQL + " FROM v_decisions GROUP BY article_id"))
 def stage_states(spark, sf):
     return au.stage_states(v.decisions(spark, sf))
 

@@ -112,6 +112,38 @@ def edition_profile_counts(spark, sf):
     return se.profile_counts(_ranked(spark, sf), se.EDITION).select("feed_id", day(), "dimension", "value", "n")
 
 
+# The pool with its decisions by the ranked lists: each of the dimensions, and the edition itself.
+DIAGNOSTICS_SQL = RANKED_SQL + """
+, dp AS (SELECT pool.*, CASE WHEN deep THEN 'deep_read' ELSE channel END AS shown, hit IS NOT NULL AS picked
+  FROM pool LEFT JOIN (SELECT feed_id, report_date, id, true AS hit FROM ranked) USING (feed_id, report_date, id) WHERE pool.gate IS NULL),
+db AS (SELECT feed_id, report_date, greatest(1, floor((CASE WHEN count(*) FILTER (imp >= 85 AND level <= 2) >= 10 THEN 18 ELSE 14 END) * 0.25))::INT AS source_limit FROM dp GROUP BY ALL),
+ds AS (SELECT feed_id, report_date, count(*) AS sources, bool_or(n > source_limit) AS over
+  FROM (SELECT feed_id, report_date, source, count(*) AS n FROM dp WHERE picked GROUP BY ALL) JOIN db USING (feed_id, report_date) GROUP BY ALL),
+dc AS (
+  SELECT feed_id, report_date, 'level' AS dimension, level::INT::VARCHAR AS value, count(*) AS eligible, count(*) FILTER (picked) AS selected FROM dp GROUP BY ALL
+  UNION ALL SELECT feed_id, report_date, 'category', category, count(*), count(*) FILTER (picked) FROM dp GROUP BY ALL
+  UNION ALL SELECT feed_id, report_date, 'channel', shown, count(*), count(*) FILTER (picked) FROM dp GROUP BY ALL
+  UNION ALL SELECT feed_id, report_date, 'source', source, count(*), count(*) FILTER (picked) FROM dp GROUP BY ALL),
+de AS (
+  SELECT feed_id, report_date, count(*) AS eligible, count(*) FILTER (picked) AS selected, count(*) FILTER (deep) AS deep_read_candidates,
+         count(*) FILTER (picked AND category NOT IN ('ai', 'robotics')) AS explore_count FROM dp GROUP BY ALL),
+dd AS (
+  SELECT feed_id, report_date, 'edition' AS dimension, NULL::VARCHAR AS value, eligible, selected, deep_read_candidates, explore_count,
+         greatest(10 - selected, 0) AS shortfall, coalesce(sources, 0) AS sources, source_limit, coalesce(over, false) AS diversity_exception
+  FROM de JOIN db USING (feed_id, report_date) LEFT JOIN ds USING (feed_id, report_date)
+  UNION ALL SELECT *, NULL, NULL, NULL, NULL, NULL, NULL FROM dc)"""
+
+
+@query("edition_diagnostics", DIAGNOSTICS_SQL + " SELECT * REPLACE (strftime(report_date, '%Y-%m-%d') AS report_date) FROM dd")
+def edition_diagnostics(spark, sf):
+    """The profile of every edition of the ranked lists, by one pass of grouping sets over their pools."""
+    rows = pool(spark, sf).filter("gate is null")
+    picked = _ranked(spark, sf).select(*se.EDITION, "id", F.lit("picked").alias("state"))
+    decisions = rows.select(*se.EDITION, "id").join(picked, [*se.EDITION, "id"], "left").withColumns(
+        {"state": F.coalesce("state", F.lit("dropped")), "filled": F.lit(False)})
+    return se.edition_diagnostics(rows, decisions).withColumn("report_date", F.col("report_date").cast("string"))
+
+
 @query("select_edition")
 def select_edition(spark, sf):
     """Full greedy selection with diversity rules and the same-event gate, all feeds and days."""

@@ -17,11 +17,22 @@ AUDIT = (f"run_id string, date string, end_time string, mode string, sources arr
 REAL_DATE = r"^\d{4}-\d{2}-\d{2}$"
 
 
+def _audit_files(spark: SparkSession, path: str) -> DataFrame:
+    """Every file under `path` (one JSON document each, any depth), with `file` and `fault` (null: a valid audit)."""
+    rows = spark.read.schema(AUDIT).option("multiLine", True).option("mode", "PERMISSIVE").option("recursiveFileLookup", True).json(path)
+    fault = (F.when(F.col("_corrupt_record").isNotNull(), "unreadable").when(F.col("run_id").isNull(), "no_run_id")
+             .when(~F.coalesce(F.col("date").rlike(REAL_DATE) & F.to_date(F.try_to_timestamp("date", F.lit("yyyy-MM-dd"))).isNotNull(), F.lit(False)), "no_date"))
+    return rows.select("*", F.col("_metadata.file_path").alias("file"), fault.alias("fault"))
+
+
+def quarantined_audits(spark: SparkSession, path: str) -> DataFrame:
+    """(file, fault, body) of the files that hold no valid audit; the body of those that are no JSON, null for the others."""
+    return _audit_files(spark, path).filter("fault is not null").select("file", "fault", F.col("_corrupt_record").alias("body"))
+
+
 def read_run_audits(spark: SparkSession, path: str, date: str | None = None) -> DataFrame:
-    """Valid audits (one JSON document per file), newest first; unreadable files are skipped."""
-    rows = spark.read.schema(AUDIT).option("multiLine", True).option("mode", "PERMISSIVE").json(path)
-    ok = F.col("_corrupt_record").isNull() & F.col("run_id").isNotNull() & F.col("date").rlike(REAL_DATE)
-    rows = rows.filter(F.coalesce(ok, F.lit(False))).drop("_corrupt_record")
+    """Valid audits (one JSON document per file), newest first; `quarantined_audits` lists the other files."""
+    rows = _audit_files(spark, path).filter("fault is null").drop("_corrupt_record", "file", "fault")
     if date is not None:
         rows = rows.filter(F.col("date") == date)
     return rows.orderBy(F.coalesce("end_time", F.lit("")).desc(), F.desc("run_id"))
@@ -47,7 +58,7 @@ def audit_decisions(audits: DataFrame) -> DataFrame:
 
 
 def article_rows(audits: DataFrame, stored: DataFrame | None = None) -> DataFrame:
-    """Articles of the audits, gaps filled from the article table, with their stage states."""
+    """Articles of the audits, gaps filled from the article table, with their stage states in the same run."""
     rows = audits.select("run_id", F.explode("articles").alias("a")).select("run_id", "a.*")
     rows = rows.withColumn("article_id", F.coalesce("article_id", "trace_id")).drop("events")
     if stored is not None:
@@ -57,8 +68,8 @@ def article_rows(audits: DataFrame, stored: DataFrame | None = None) -> DataFram
         for name in ("source", "title", "published_at", "original_url"):
             rows = rows.withColumn(name, F.coalesce(name, f"_{name}")).drop(f"_{name}")
     rows = rows.withColumn("original_url", F.when(urls.scheme(F.col("original_url")) == "https", F.col("original_url")))
-    states = au.stage_states(audit_decisions(audits))
-    return rows.join(states, "article_id", "left")
+    states = au.stage_states(audit_decisions(audits), ("run_id", "article_id"))
+    return rows.join(states, ["run_id", "article_id"], "left")
 
 
 def sources_for_date(rows: DataFrame, checks: DataFrame, sources: DataFrame) -> DataFrame:

@@ -207,3 +207,23 @@ def test_whole_table(spark, data):
         rows = [r.asDict() for r in pool if (r.feed_id, r.report_date) == edition]
         want |= {(edition[0], str(edition[1]), k): v for k, v in one_edition(rows).items()}
     assert len(want) == len(pool) and got == want
+
+
+def test_diagnostics_of_greedy_editions(spark):
+    rows = [r for seed, n, spread in FEEDS for r in made(seed, n, seed, spread)]
+    pool = spark.createDataFrame([(*r, r[2].endswith("3"), "news") for r in rows], SCHEMA + ", deep boolean, channel string")
+    out = {r.feed_id: r for r in se.edition_diagnostics(pool, se.select_edition(pool)).filter("dimension = 'edition'").collect()}
+    for feed, n, _ in FEEDS:
+        members = [dict(zip(NAMES, r)) for r in rows if r[0] == feed]
+        decided = {}
+        chosen = one_run(members, fv.RULES["maximum"], decided)
+        majors = sum(r["importance"] >= 85 and r["level"] <= 2 for r in members)
+        cap = 18 if majors >= 10 else 14
+        most = max(1, int(cap * 0.25))
+        counts = [sum(c["source"] == s for c in chosen) for s in {c["source"] for c in chosen}]
+        filled = {r.id for r in se.select_edition(pool.filter(f"feed_id = {feed}")).filter("filled").collect()} if feed == 7 else None
+        got = out[feed]
+        assert (got.eligible, got.selected, got.sources, got.source_limit) == (n, len(chosen), len(counts), most)
+        assert got.shortfall == max(10 - len(chosen), 0) and got.deep_read_candidates == sum(r["id"].endswith("3") for r in members)
+        assert got.diversity_exception >= any(k > most for k in counts)
+        assert filled is None or got.diversity_exception == (any(k > most for k in counts) or bool(filled))
