@@ -130,6 +130,39 @@ def stream_drop_reasons(spark, sf):
         F.col("day").cast("string"), "stage", "reason", "drops")
 
 
+@query("late_rows", """
+, late AS (SELECT DISTINCT CAST(ts AS DATE) AS day, event_type, user_id % 7 AS r FROM events, (SELECT max(ts) AS newest FROM events), (
+    SELECT max(ts) AS seen FROM events, (SELECT max(ts) - INTERVAL 3 DAY AS cut FROM events) WHERE ts >= cut AND event_id % 4 = 0)
+  WHERE event_id % 2 = 0 AND ts < newest - INTERVAL 3 DAY AND CAST(ts AS DATE) + INTERVAL 1 DAY <= seen - INTERVAL 1 DAY)
+SELECT sum(n)::BIGINT AS dropped FROM (SELECT count(*) AS n FROM late)""".replace(", late AS", "WITH late AS", 1))
+def late_rows(spark, sf):
+    """Drops of the newest days arrive in two files and those of all days before in a third, of which the watermark refuses all
+    closed days: how many groups of the third file came too late."""
+    from broadsheet.session import new_folder
+    from broadsheet.streaming.articles import stream_drop_reasons as drops
+    from broadsheet.streaming.progress import LateRows
+
+    folder = new_folder(spark, "late")
+    rows = v.table(spark, sf, "events").filter("event_id % 2 = 0").select(
+        "event_id", "ts", F.col("event_type").alias("stage"), F.lit("dropped").alias("status"), F.concat(F.lit("r"), (F.col("user_id") % 7).cast("string")).alias("reason"))
+    newest = v.table(spark, sf, "events").agg(F.max("ts").alias("ts")).first()["ts"]
+    recent = F.col("ts") >= F.lit(newest) - F.expr("INTERVAL 3 DAYS")
+    for part, test in enumerate((recent & (F.col("event_id") % 4 == 0), recent & (F.col("event_id") % 4 != 0), ~recent)):
+        rows.filter(test).drop("event_id").coalesce(1).write.parquet(f"{folder}/in/part={part}")
+    stream = spark.readStream.schema(rows.drop("event_id").schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in/part=*")
+    listener = LateRows(spark, f"{folder}/late")
+    spark.streams.addListener(listener)
+    try:
+        job = drops(stream).writeStream.format("parquet").option("path", f"{folder}/out").option(
+            "checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
+        job.awaitTermination()
+        if not listener.wait(str(job.id)):
+            raise RuntimeError("the end of the query was not reported")
+    finally:
+        spark.streams.removeListener(listener)
+    return spark.read.parquet(f"{folder}/late").agg(F.sum("dropped").alias("dropped"))
+
+
 @query("stream_articles", v.sql(v.V_ARTICLES, select=ADMIT_SQL.format(order="doc_id % 3, published_at DESC, doc_id", rows="v_articles", urls="[]", prints="[]") + """
 SELECT doc_id, doc_id % 3 AS batch_id FROM walk WHERE doc_id IS NOT NULL""").replace("WITH ", "WITH RECURSIVE ", 1))
 def stream_articles(spark, sf):

@@ -267,3 +267,45 @@ def latest_capture(spark, sf):
     caps = v.pages(spark, sf).select(F.lower(F.regexp_extract("url", "^[a-z]+://([^/?#]*)", 1)).alias("host"),
                                      "page_id", F.sha2("html", 256).alias("body_hash"))
     return tb.latest_capture(caps, ["host"], "page_id", ["body_hash"]).select("host", "page_id", "body_hash")
+
+
+@query("normalize_schema", """
+SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'unknown' ELSE source END AS source, CASE WHEN doc_id % 2 = 0 THEN 'technology' ELSE lang END AS channel,
+ CAST(CASE WHEN doc_id % 2 = 0 THEN 3 ELSE doc_id % 4 END AS INTEGER) AS source_tier, CAST(NULL AS VARCHAR) AS region FROM documents""")
+def normalize_schema(spark, sf):
+    """A table of which older files lack columns that newer ones have, read under today's schema."""
+    from pyspark.sql import types as T
+
+    from broadsheet.session import new_folder
+    from broadsheet.sources import tables as tb
+
+    folder, doc = new_folder(spark, "evolved"), F.col("doc_id")
+    rows = v.table(spark, sf, "documents")
+    rows.filter(doc % 2 == 0).select("doc_id").write.parquet(f"{folder}/age=1")
+    rows.filter(doc % 2 == 1).select("doc_id", "source", F.col("lang").alias("channel"), (doc % 4).alias("source_tier")).write.parquet(f"{folder}/age=2")
+    target = T.StructType([T.StructField("doc_id", T.LongType()), *[T.StructField(n, T.StringType()) for n in ("source", "channel")],
+                           T.StructField("source_tier", T.IntegerType()), T.StructField("region", T.StringType())])
+    return tb.normalize_schema(spark.read.option("mergeSchema", True).parquet(folder), target, {"source": "unknown", "source_tier": 3, "channel": "technology"})
+
+
+@query("index_title_date", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS dated FROM orders")
+def index_title_date(spark, sf):
+    """Dates written in the text of index links, one for each order; every other month is spelled out."""
+    day = F.col("o_orderdate")
+    written = F.when(F.month(day) % 2 == 0, F.date_format(day, "MMMM d, yyyy")).otherwise(F.date_format(day, "MMM  d, yyyy"))
+    title = F.concat(F.lit("Order "), "o_orderkey", F.lit(" of "), "o_custkey", F.lit(" | "), written, F.lit(" | "), "o_orderpriority")
+    return v.table(spark, sf, "orders").select("o_orderkey", F.date_format(ru.index_title_date(title), "yyyy-MM-dd").alias("dated"))
+
+
+@query("merge_evidence", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'old' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS policy_checked_at, o_orderpriority AS policy_validity_evidence,
+ CASE WHEN o_orderkey % 4 <> 1 THEN o_orderstatus = 'F' END AS current_applicability_verified, CAST(NULL AS VARCHAR) AS applicability_evidence FROM orders""")
+def merge_evidence(spark, sf):
+    """Reviews kept as JSON beside older columns, one for each order."""
+    from broadsheet.operators import reserve as rs
+
+    key = F.col("o_orderkey")
+    review = F.to_json(F.struct(F.when(key % 3 != 0, F.date_format("o_orderdate", "yyyy-MM-dd")).alias("policy_checked_at"), F.col("o_orderpriority").alias("policy_validity_evidence"),
+                                F.when(key % 4 != 1, F.col("o_orderstatus") == "F").alias("current_applicability_verified")))
+    prior = v.table(spark, sf, "orders").select("o_orderkey", review.alias("review_evidence_json"), F.lit("old").alias("policy_checked_at"), F.lit("older").alias("policy_validity_evidence"))
+    return rs.merge_evidence(prior).drop("review_evidence_json")

@@ -67,3 +67,9 @@ def test_a_table_from_before_the_stream_is_indexed(spark):
             sa._index(spark, f"{folder}/table", batch_id)
         seen += [r.seq for r in dd.first_of_both(keys.unknown(batch, f"{folder}/table")).collect()]
     assert before == {9} and sorted(seen) == [2, 4]
+
+
+def test_late_rows_are_counted(spark, data):
+    from broadsheet.plans import audit_queries as aq
+
+    assert aq.late_rows(spark, data).first()["dropped"] > 100
