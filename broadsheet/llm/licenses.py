@@ -1,18 +1,24 @@
 """License scans by canonical digests.
 
 A text's canonical form has no copyright lines, one spelling for words that are spelt in several ways, no punctuation and
-no case. Its digest is looked up among the digests of known licence texts with a hash join, whole text by whole text. The
-units are the whole document and each of its lines, since licences stand on lines of their own in scraped documents.
-Everything is done with DataFrame operations; the known digests are a short list that comes with the call.
+no case; letters and digits of all scripts count. Its digest is looked up among the digests of known licence texts with a hash
+join, whole text by whole text. The units are the whole document and, from every line on, runs of lines and of paragraphs
+as long as the longest known text has lines, since licences stand among other text in scraped documents. Everything is
+done with DataFrame operations.
+
+A unit can only be a known text if it begins with the first word of one, in any of its spellings. So units that do not are left
+before their canonical form is made, which loses nothing and leaves few.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from broadsheet.session import broadcast_if_small
+
 # Equivalent spellings, as whole words of the lower-cased text.
 SPELLINGS = (
     ("acknowledgement", "acknowledgment"),
@@ -39,10 +45,8 @@ SPELLINGS = (
     ("licenced", "licensed"),
     ("maximise", "maximize"),
     ("modelled", "modeled"),
-    ("noncommercial", "non commercial"),
     ("organisation", "organization"),
     ("owner", "holder"),
-    ("percent", "per cent"),
     ("practise", "practice"),
     ("programme", "program"),
     ("realise", "realize"),
@@ -54,6 +58,9 @@ SPELLINGS = (
     ("wilful", "willful"),
 )
 
+# Spellings in two words, and the one word they are.
+PAIRS = (("non", "commercial", "noncommercial"), ("per", "cent", "percent"))
+
 # Known licence notices and texts.
 KNOWN = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -93,42 +100,78 @@ KNOWN = (
 COPYRIGHT_LINE = r"(?m)^[^\n]*(copyright[ \t]+(\(c\)|©|[0-9])|\(c\)[ \t]*[0-9]|©|all rights reserved)[^\n]*$"
 
 
-def _plain(text: Column) -> Column:
-    """Lower case, without copyright lines; letters and digits with two blanks between words, so that each word has its
-    own to be found by."""
-    lower = F.lower(text)
-    marked = reduce(Column.__or__, (F.contains(lower, F.lit(m)) for m in ("copyright", "(c)", "©", "all rights reserved")))
-    kept = F.when(marked, F.regexp_replace(lower, COPYRIGHT_LINE, " ")).otherwise(lower)
-    return F.concat(F.lit(" "), F.regexp_replace(kept, r"[^a-z0-9]+", "  "), F.lit(" "))
+MARKS = ("copyright", "(c)", "©", "all rights reserved")
+WORD = r"[\p{L}\p{N}]+"
+FIRST_WORDS = 10_000  # first words of known texts that units are held against; more known texts are looked up without
+
+
+def _marked(lower: Column) -> Column:
+    return reduce(Column.__or__, (F.contains(lower, F.lit(m)) for m in MARKS))
 
 
 def canonical(text: Column) -> Column:
     """The canonical form; a null text stays null. Copyright lines are those with `copyright` before a year or sign, with
     a sign before a year, or with `all rights reserved`."""
-    return F.trim(reduce(lambda c, pair: F.replace(c, F.lit(f" {pair[0]} "), F.lit(f" {pair[1]} ")), SPELLINGS, _plain(text)))
+    spelt = F.create_map(*[F.lit(x) for pair in SPELLINGS for x in pair])
+    lower = F.lower(text)
+    kept = F.when(_marked(lower), F.regexp_replace(lower, COPYRIGHT_LINE, " ")).otherwise(lower)
+    words = F.split(F.trim(F.regexp_replace(kept, r"[^\p{L}\p{N}]+", " ")), " ")
+    out = F.concat(F.lit(" "), F.array_join(F.transform(words, lambda w: F.coalesce(spelt[w], w)), " "), F.lit(" "))
+    for first, second, one in PAIRS:
+        out = F.regexp_replace(out, f"(?<= ){first} {second}(?= )", one)
+    return F.trim(out)
 
 
 def digest(text: Column) -> Column:
     return F.md5(canonical(text).cast("binary"))
 
 
-def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
-    """(digest, license) of the known texts, one row a digest; of two licences with one text the first by name."""
-    rows = spark.createDataFrame([*known], "license string, text string")
-    return rows.filter(canonical(F.col("text")) != "").groupBy(digest(F.col("text")).alias("digest")).agg(F.min("license").alias("license"))
+def known_digests(known: DataFrame) -> DataFrame:
+    """(digest, license) of the known texts (license, text), one row a digest; of two licences with one text the first by name."""
+    return known.filter(canonical(F.col("text")) != "").groupBy(digest(F.col("text")).alias("digest")).agg(F.min("license").alias("license"))
+
+
+def _bounds(known: DataFrame) -> tuple[list[str] | None, int]:
+    """The words with which a unit may begin (None: too many to list), and the most lines of a known text."""
+    made = known.select(canonical(F.col("text")).alias("c"), F.col("text")).filter("c <> ''")
+    lines = made.agg(F.max(F.size(F.filter(F.split("text", "\n"), lambda x: x.rlike(WORD))))).first()[0]
+    firsts = [r.w for r in made.select(F.split_part("c", F.lit(" "), F.lit(1)).alias("w")).distinct().limit(FIRST_WORDS + 1).collect()]
+    if len(firsts) > FIRST_WORDS:
+        return None, lines or 1
+    ways = {*firsts, *(a for a, b in SPELLINGS if b in firsts), *(first for first, _, one in PAIRS if one in firsts)}
+    return sorted(ways), lines or 1
 
 
 def scan(docs: DataFrame, known=KNOWN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, license, whole, first_line) of every document and licence it carries: whole says that the entire text is the
-    licence, first_line is the number of the first line that is it (0 for a whole text).
+    licence, first_line is the number of the first line that is it (0 for a whole text). `known` is a table (license, text), or a
+    short list of such pairs; its digests are broadcast only behind a check of their number.
 
     Null texts and texts without letters or digits carry none. Rows of one id, or without one, count as one document.
     """
-    lines = F.transform(F.split(F.col(text_col), "\n"), lambda x, k: F.struct((k + 1).alias("line"), x.alias("unit")))
-    units = F.concat(F.array(F.struct(F.lit(0).alias("line"), F.col(text_col).alias("unit"))), lines)
-    # no spelling shortens a text to less than half; what is longer than twice every known text is none of them
-    longest = max((len(t) for _, t in known), default=0)
-    found = (docs.select(F.col(id_col).alias("id"), F.explode(units).alias("u")).filter("u.unit is not null")
-             .filter(F.length(_plain(F.col("u.unit"))) <= 4 * longest + 100).select("id", "u.line", digest(F.col("u.unit")).alias("digest")))
-    return (found.join(known_digests(docs.sparkSession, known), "digest").groupBy("id", "license")
+    if not isinstance(known, DataFrame):
+        known = docs.sparkSession.createDataFrame([*known], "license string, text string")
+    firsts, most = _bounds(known)
+
+    def may_begin(text: Column) -> Column:
+        return F.lit(True) if firsts is None else F.lower(F.regexp_extract(text, WORD, 0)).isin(*firsts) if firsts else F.lit(False)
+
+    lower = F.lower(F.col("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("text is not null").withColumn("marked", _marked(lower))
+    whole = rows.filter(F.col("marked") | may_begin(F.col("text"))).select("id", F.lit(0).alias("line"), F.col("text").alias("unit"))
+    numbered = F.transform(F.split("text", "\n"), lambda x, k: F.struct((k + 1).alias("line"), x.alias("text")))
+    owned = lambda x: F.col("marked") & F.lower(x["text"]).rlike(COPYRIGHT_LINE)
+    lines = rows.withColumn("lines", F.filter(numbered, lambda x: x["text"].rlike(WORD) & ~owned(x))).select("id", "lines")
+    places = F.transform("lines", lambda x, k: F.struct(x["line"].alias("line"), (k + 1).alias("at"), x["text"].alias("text")))
+    starts = F.transform(F.filter(places, lambda x: may_begin(x["text"])), lambda x: F.struct(x["line"].alias("line"), x["at"].alias("at")))
+    lines = lines.withColumn("starts", starts).filter(F.size("starts") > 0)
+    ends = F.transform(F.filter(F.transform("lines", lambda x, k: F.struct((k + 1).alias("at"), (F.get("lines", k + 1)["line"] - x["line"]).alias("gap"))),
+                                lambda e: e["gap"].isNull() | (e["gap"] > 1)), lambda e: e["at"])
+    runs = lines.withColumn("ends", ends).select("id", "lines", "ends", F.explode("starts").alias("s"))
+    near = F.sequence(F.col("s.at"), F.least(F.col("s.at") + most - 1, F.size("lines")))
+    last = F.explode(F.array_union(near, F.slice(F.filter("ends", lambda e: e >= F.col("s.at")), 1, most)))
+    runs = runs.select("id", "lines", "s", last.alias("last"))
+    unit = F.array_join(F.transform(F.slice("lines", F.col("s.at"), F.col("last") - F.col("s.at") + 1), lambda x: x["text"]), "\n")
+    units = whole.unionByName(runs.select("id", F.col("s.line").alias("line"), unit.alias("unit")))
+    return (units.select("id", "line", digest(F.col("unit")).alias("digest")).join(broadcast_if_small(known_digests(known)), "digest").groupBy("id", "license")
             .agg((F.min("line") == 0).alias("whole"), F.min("line").alias("first_line")).withColumnRenamed("id", id_col))

@@ -118,18 +118,28 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _canonical_sql(text: str) -> str:
-    plain = f"' ' || regexp_replace(regexp_replace(lower({text}), '{licenses.COPYRIGHT_LINE}', ' ', 'g'), '[^a-z0-9]+', '  ', 'g') || ' '"
-    return "trim(" + reduce(lambda c, pair: f"replace({c}, ' {pair[0]} ', ' {pair[1]} ')", licenses.SPELLINGS, plain) + ")"
+    """Every word between blanks of its own, spellings replaced one after the other, blanks squeezed at the end."""
+    plain = f"' ' || regexp_replace(regexp_replace(lower({text}), '{licenses.COPYRIGHT_LINE}', ' ', 'g'), '[^\\p{{L}}\\p{{N}}]+', '  ', 'g') || ' '"
+    ways = [*((a, b) for a, b in licenses.SPELLINGS), *((f"{a}  {b}", one) for a, b, one in licenses.PAIRS)]
+    return "trim(regexp_replace(" + reduce(lambda c, pair: f"replace({c}, ' {pair[0]} ', ' {pair[1]} ')", ways, plain) + ", ' +', ' ', 'g'))"
 
 
 LICENSE_SQL = f"""
-WITH known AS (
-  SELECT md5({_canonical_sql('t')}) AS digest, min(license) AS license
-  FROM (VALUES {', '.join("('" + n + "', '" + t.replace("'", "''") + "')" for n, t in licenses.KNOWN)}) k(license, t) GROUP BY 1),
+WITH texts(license, t) AS (VALUES {', '.join("('" + n + "', '" + t.replace("'", "''") + "')" for n, t in licenses.KNOWN)}),
+known AS (SELECT md5({_canonical_sql('t')}) AS digest, min(license) AS license, max(length(t) - length(replace(t, chr(10), '')) + 1) AS lines FROM texts GROUP BY 1),
+lined AS (SELECT doc_id, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS line, unnest(string_split(text, chr(10))) AS x FROM documents WHERE text IS NOT NULL),
+solid AS (SELECT doc_id, line, x, row_number() OVER (PARTITION BY doc_id ORDER BY line) AS place, lead(line) OVER (PARTITION BY doc_id ORDER BY line) - line AS gap
+          FROM lined WHERE {_canonical_sql('x')} <> ''),
+ends AS (SELECT doc_id, place, row_number() OVER (PARTITION BY doc_id ORDER BY place) AS e FROM solid WHERE gap IS NULL OR gap > 1),
+paragraph AS (SELECT s.doc_id, s.place, (SELECT min(e) FROM ends n WHERE n.doc_id = s.doc_id AND n.place >= s.place) AS e FROM solid s),
+most AS (SELECT max(lines) AS n FROM known),
+spans AS (
+  SELECT s.doc_id, s.place, s.place + k AS last FROM solid s, most, unnest(range(0, n)) u(k)
+  UNION SELECT p.doc_id, p.place, e.place FROM paragraph p JOIN ends e ON e.doc_id = p.doc_id AND e.e >= p.e, most WHERE e.e < p.e + n),
+held AS (SELECT doc_id, list(x ORDER BY place) AS xs, list(line ORDER BY place) AS numbers FROM solid GROUP BY doc_id),
 units AS (
   SELECT doc_id, 0 AS line, text AS unit FROM documents WHERE text IS NOT NULL
-  UNION ALL
-  SELECT doc_id, unnest(range(1, len(string_split(text, chr(10))) + 1)), unnest(string_split(text, chr(10))) FROM documents WHERE text IS NOT NULL)
+  UNION ALL SELECT doc_id, numbers[place], array_to_string(xs[place:last], chr(10)) FROM spans JOIN held USING (doc_id) WHERE last <= len(xs))
 SELECT doc_id, license, min(line) = 0 AS whole, min(line)::INT AS first_line
 FROM (SELECT doc_id, line, md5({_canonical_sql('unit')}) AS digest FROM units) JOIN known USING (digest) GROUP BY doc_id, license
 """
