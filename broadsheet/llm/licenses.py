@@ -17,6 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from broadsheet.functions.text import let
 from broadsheet.session import broadcast_if_small
 
 # Equivalent spellings, as whole words of the lower-cased text.
@@ -156,22 +157,34 @@ def scan(docs: DataFrame, known=KNOWN, id_col: str = "doc_id", text_col: str = "
     def may_begin(text: Column) -> Column:
         return F.lit(True) if firsts is None else F.lower(F.regexp_extract(text, WORD, 0)).isin(*firsts) if firsts else F.lit(False)
 
-    lower = F.lower(F.col("text"))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("text is not null").withColumn("marked", _marked(lower))
-    whole = rows.filter(F.col("marked") | may_begin(F.col("text"))).select("id", F.lit(0).alias("line"), F.col("text").alias("unit"))
-    numbered = F.transform(F.split("text", "\n"), lambda x, k: F.struct((k + 1).alias("line"), x.alias("text")))
-    owned = lambda x: F.col("marked") & F.lower(x["text"]).rlike(COPYRIGHT_LINE)
-    lines = rows.withColumn("lines", F.filter(numbered, lambda x: x["text"].rlike(WORD) & ~owned(x))).select("id", "lines")
-    places = F.transform("lines", lambda x, k: F.struct(x["line"].alias("line"), (k + 1).alias("at"), x["text"].alias("text")))
-    starts = F.transform(F.filter(places, lambda x: may_begin(x["text"])), lambda x: F.struct(x["line"].alias("line"), x["at"].alias("at")))
-    lines = lines.withColumn("starts", starts).filter(F.size("starts") > 0)
-    ends = F.transform(F.filter(F.transform("lines", lambda x, k: F.struct((k + 1).alias("at"), (F.get("lines", k + 1)["line"] - x["line"]).alias("gap"))),
-                                lambda e: e["gap"].isNull() | (e["gap"] > 1)), lambda e: e["at"])
-    runs = lines.withColumn("ends", ends).select("id", "lines", "ends", F.explode("starts").alias("s"))
-    near = F.sequence(F.col("s.at"), F.least(F.col("s.at") + most - 1, F.size("lines")))
-    last = F.explode(F.array_union(near, F.slice(F.filter("ends", lambda e: e >= F.col("s.at")), 1, most)))
-    runs = runs.select("id", "lines", "s", last.alias("last"))
-    unit = F.array_join(F.transform(F.slice("lines", F.col("s.at"), F.col("last") - F.col("s.at") + 1), lambda x: x["text"]), "\n")
-    units = whole.unionByName(runs.select("id", F.col("s.line").alias("line"), unit.alias("unit")))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("text is not null").withColumn("marked", _marked(F.lower("text")))
+
+    def solid(x: Column) -> Column:
+        return x["text"].rlike(WORD) & ~(F.col("marked") & F.lower(x["text"]).rlike(COPYRIGHT_LINE))
+
+    def runs(lines: Column) -> Column:
+        """The units that begin at a line, for all lines of a text; lines without words and of copyright are passed over."""
+        places = F.transform(lines, lambda x, k: F.struct((k + 1).alias("at"), x["line"].alias("line"), x["text"].alias("text")))
+        # a paragraph ends where the next line has a greater number than the following one
+        ends = F.transform(F.filter(F.transform(lines, lambda x, k: F.struct((k + 1).alias("at"), (F.get(lines, k + 1)["line"] - x["line"]).alias("gap"))),
+                                    lambda e: e["gap"].isNull() | (e["gap"] > 1)), lambda e: e["at"])
+
+        def begun(starts: Column, ends: Column) -> Column:
+            def units(s: Column) -> Column:
+                near = F.sequence(s["at"], F.least(s["at"] + most - 1, F.size(lines)))
+                lasts = F.array_union(near, F.slice(F.filter(ends, lambda e: e >= s["at"]), 1, most))
+                return F.transform(lasts, lambda last: F.struct(s["line"].alias("line"), F.array_join(
+                    F.transform(F.slice(lines, s["at"], last - s["at"] + 1), lambda x: x["text"]), "\n").alias("unit")))
+
+            return F.flatten(F.transform(starts, units))
+
+        found = F.transform(F.filter(places, lambda x: may_begin(x["text"])), lambda x: F.struct(x["at"].alias("at"), x["line"].alias("line")))
+        return let(found, lambda starts: F.when(F.size(starts) > 0, let(ends, lambda stops: begun(starts, stops))))
+
+    numbered = F.filter(F.transform(F.split("text", "\n"), lambda x, k: F.struct((k + 1).alias("line"), x.alias("text"))), solid)
+    whole = F.when(F.col("marked") | may_begin(F.col("text")), F.array(F.struct(F.lit(0).alias("line"), F.col("text").alias("unit"))))
+    parts = F.concat(F.coalesce(whole, F.array().cast("array<struct<line:int,unit:string>>")),
+                     F.coalesce(let(numbered, runs), F.array().cast("array<struct<line:int,unit:string>>")))
+    units = rows.select("id", F.explode(parts).alias("u")).select("id", "u.line", "u.unit")
     return (units.select("id", "line", digest(F.col("unit")).alias("digest")).join(broadcast_if_small(known_digests(known)), "digest").groupBy("id", "license")
             .agg((F.min("line") == 0).alias("whole"), F.min("line").alias("first_line")).withColumnRenamed("id", id_col))
