@@ -121,3 +121,31 @@ def test_windows_just_over_the_similarity_are_all_found():
     few = docs[:40]
     want = plain_hits(few, items[:10])
     assert {k: v for k, v in got.items() if k[0] < 40 and k[1] < 10} == want
+
+
+def test_recall_of_the_fingerprints_by_similarity_and_length():
+    rng = np.random.default_rng(9)
+    word = lambda n: [f"w{x}" for x in rng.integers(0, 10**6, n)]
+    for low, high in ((13, 20), (20, 40), (40, 90), (90, 400)):
+        items = [(k, " ".join(word(int(rng.integers(low, high))))) for k in range(20)]
+        index, known, found, held = de.Index(items), de.BareHashes(), Counter(), Counter()
+        for k in range(600):
+            whole = items[k % 20][1].split()
+            passage = list(whole)
+            for at in rng.integers(0, len(whole), 1 + int(rng.integers(0, 1 + len(whole) // 45))):
+                at = int(at) if k % 2 else 0 if at % 2 else len(whole) - 1  # anywhere, or at an end
+                passage[at:at + 1] = word(1 + k % 2 * int(rng.integers(0, 2)))
+            if k % 4 == 0:
+                cut = len(whole) // int(rng.integers(10, 14))
+                passage = word(cut) + whole[cut:]
+            want, got = grams(whole, 5), grams(passage[:len(whole)], 5)
+            alike = sum((got & want).values()) / sum((got | want).values())
+            if 0.8 <= alike:
+                band = "0.80-0.85" if alike < 0.85 else "0.85-0.90" if alike < 0.9 else "0.90-1.00"
+                held[band] += 1
+                text = " ".join(word(30) + passage + word(30))
+                found[band] += any(i == k % 20 and v >= alike - 1e-12 for i, v, _, _ in index.hits(text, known))
+        assert sum(held.values()) > 50
+        for band, n in held.items():
+            print(f"items of {low} to {high - 1} words, alike {band}: {found[band]} of {n}")
+            assert found[band] >= 0.99 * n
