@@ -6,7 +6,7 @@ into it; what is left is a budget that the documents of the source fill in the o
 
 The order within a source is never made in one task. Keys fall into BINS ranges whose order is that of the keys; sizes are
 summed by (source, bin) before any shuffle, running sums over the bins place each bin, and only then are documents ordered
-within their bin. Texts are not shuffled.
+within their bin. To draw, ids and sizes are shuffled; `mix` moves the texts themselves once, to join them with the plan.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from broadsheet.llm.words import free_names
+
 BINS = 4096
 RATIO = (3, 1, 2)  # weights of the sources in their order, repeating
 SHARE = 1.5  # of all words
@@ -95,8 +97,9 @@ def drawn(docs: DataFrame, quality: DataFrame | None = None, ratio: tuple[int, .
 def mix(docs: DataFrame, quality: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
     """The mixed documents, with the columns of `docs`: each row as often as it is drawn. Rows are found again by id and by
     a hash of the text, so rows that agree in both are drawn alike."""
-    plan = (drawn(docs, quality, id_col=id_col, text_col=text_col, **settings).groupBy(F.col(id_col).alias("_id"), F.col("tie").alias("_tie"))
-            .agg(F.max("copies").alias("_copies")).filter("_copies > 0"))
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(text_col)) == F.col("_tie"))
-    return (docs.join(plan, same).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+    key, hashed, copies, copy = free_names(docs, "id", "tie", "copies", "copy")
+    plan = (drawn(docs, quality, id_col=id_col, text_col=text_col, **settings).groupBy(F.col(id_col).alias(key), F.col("tie").alias(hashed))
+            .agg(F.max("copies").alias(copies)).filter(F.col(copies) > 0))
+    same = F.col(id_col).eqNullSafe(F.col(key)) & (F.xxhash64(F.col(text_col)) == F.col(hashed))
+    return (docs.join(plan, same).withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))))
             .select(*(docs[c] for c in docs.columns)))

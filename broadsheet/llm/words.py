@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.sql import DataFrame
 
 SEED = 42  # of every XXH64 here; the same as Spark's own xxhash64
 SLICE = 256  # documents held as Python objects at a time
@@ -74,3 +75,11 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+
+
+def free_names(docs: DataFrame, *names: str) -> list[str]:
+    """Names for working columns that the table does not have, whatever their case."""
+    held, mark = {c.lower() for c in docs.columns}, "_"
+    while any((mark + name).lower() in held for name in names):
+        mark += "_"
+    return [mark + name for name in names]

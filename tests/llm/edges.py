@@ -7,7 +7,8 @@ ROWS = [
     (11, "intro words first\n" + SENTENCE * 3 + "\nand an end"), (12, SENTENCE * 4), (12, SENTENCE * 4), (-3, "minus three"), (10**15, "far away"),
 ]
 SCHEMA = "doc_id long, text string"
-CLASHES = ("id", "fp", "key", "size", "tie", "bin", "seen", "block", "node", "comp", "digest", "start", "n_words", "shard", "host", "line", "source_size")
+CLASHES = ("id", "fp", "key", "size", "tie", "bin", "seen", "block", "node", "comp", "digest", "start", "n_words", "shard", "host", "line", "source_size",
+           "_id", "_key", "_node", "_rows", "_tie", "_copies", "_copy")
 
 
 def documents(spark, rows=ROWS):
