@@ -51,44 +51,54 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b if b in plain else next(others)) for b in range(256)}
 
 
-class _Words(dict):
-    """Packed ids of single words (in the sense of PATTERN), merged by the library's model and remembered."""
+class _Remembered(dict):
+    """What `make` gives for a key. When REMEMBERED keys are held, they become the older half, from which those still in use
+    come back; so memory is bounded, and common keys are never made again."""
 
-    REMEMBERED = 500_000
+    REMEMBERED = 400_000
 
-    def __init__(self, merge, kind: str):
+    def __init__(self):
         super().__init__()
-        self.merge, self.kind = merge, kind
-        self.letters = str.maketrans(_byte_letters())
+        self.older: dict[str, bytes] = {}
 
-    def __missing__(self, word: str) -> bytes:
+    def __missing__(self, key: str) -> bytes:
+        ids = self.older.get(key)
+        if ids is None:
+            ids = self.make(key)
         if len(self) >= self.REMEMBERED:
+            self.older = dict(self)
             self.clear()
-        letters = word.encode().decode("latin-1").translate(self.letters)
-        ids = self[word] = packed(self.kind, [t.id for t in self.merge(letters)])
+        self[key] = ids
         return ids
 
 
-class _Pieces(dict):
-    """Packed ids of a blank and what follows it up to the next blank, remembered."""
+class _Words(_Remembered):
+    """Packed ids of single words (in the sense of PATTERN), merged by the library's model."""
 
-    REMEMBERED = 500_000
+    def __init__(self, merge, kind: str):
+        super().__init__()
+        self.merge, self.kind = merge, kind
+        self.letters = str.maketrans(_byte_letters())
+
+    def make(self, word: str) -> bytes:
+        letters = word.translate(self.letters) if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+        return packed(self.kind, [t.id for t in self.merge(letters)])
+
+
+class _Pieces(_Remembered):
+    """Packed ids of a blank and what follows it up to the next blank."""
 
     def __init__(self, words: _Words, split):
         super().__init__()
         self.words, self.split = words, split
 
-    def __missing__(self, rest: str) -> bytes:
-        if len(self) >= self.REMEMBERED:
-            self.clear()
-        if rest.isalpha() and max(rest) <= LAST_LATIN:
-            ids = self.words[" " + rest]
-        elif rest[-1:] in {".", ","} and rest[:-1].isalpha() and max(rest) <= LAST_LATIN:
-            ids = self.words[" " + rest[:-1]] + self.words[rest[-1]]
-        else:
-            ids = self.split(" " + rest)
-        self[rest] = ids
-        return ids
+    def make(self, rest: str) -> bytes:
+        if rest.isascii() or max(rest) <= LAST_LATIN:
+            if rest.isalpha():
+                return self.words.make(" " + rest)  # remembered here alone
+            if rest[-1:] in {".", ","} and rest[:-1].isalpha():
+                return self[rest[:-1]] + self.words[rest[-1]]
+        return self.split(" " + rest)
 
 
 def packed(kind: str, ids: list[int]) -> bytes:
