@@ -79,6 +79,7 @@ class _Words(_Remembered):
         super().__init__()
         self.merge, self.kind = merge, kind
         self.letters = str.maketrans(_byte_letters())
+        self.blank = " ".translate(self.letters)
 
     def make(self, word: str) -> bytes:
         letters = word.translate(self.letters) if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
@@ -94,8 +95,10 @@ class _Pieces(_Remembered):
 
     def make(self, rest: str) -> bytes:
         if rest.isascii() or max(rest) <= LAST_LATIN:
-            if rest.isalpha():
-                return self.words.make(" " + rest)  # remembered here alone
+            if rest.isalpha():  # remembered here alone; ASCII letters stand for themselves
+                if rest.isascii():
+                    return packed(self.words.kind, [t.id for t in self.words.merge(self.words.blank + rest)])
+                return self.words.make(" " + rest)
             if rest[-1:] in {".", ","} and rest[:-1].isalpha():
                 return self[rest[:-1]] + self.words[rest[-1]]
         return self.split(" " + rest)
