@@ -166,14 +166,14 @@ def late_rows(spark, sf):
 @query("stream_articles", v.sql(v.V_ARTICLES, select=ADMIT_SQL.format(order="doc_id % 3, published_at DESC, doc_id", rows="v_articles", urls="[]", prints="[]") + """
 SELECT doc_id, doc_id % 3 AS batch_id FROM walk WHERE doc_id IS NOT NULL""").replace("WITH ", "WITH RECURSIVE ", 1))
 def stream_articles(spark, sf):
-    """All articles, copies of URLs and texts included, arriving as a stream of three files."""
+    """All articles, copies of URLs and texts included, arriving as a stream of three deliveries, each taken in before the next."""
     from broadsheet.session import new_folder
     from broadsheet.streaming.articles import stream_articles as intake
 
     folder = new_folder(spark, "articles-stream")
     art = v.articles(spark, sf, labels=False).select("doc_id", "original_url", "fingerprint", "published_at", "published_date")
     for part in range(3):
-        art.filter(F.col("doc_id") % 3 == part).coalesce(1).write.parquet(f"{folder}/in/part={part}")
-    stream = spark.readStream.schema(art.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in/part=*")
-    intake(stream, f"{folder}/table", f"{folder}/state", seq="doc_id").awaitTermination()
+        art.filter(F.col("doc_id") % 3 == part).write.parquet(f"{folder}/in/part={part}")
+        stream = spark.readStream.schema(art.schema).parquet(f"{folder}/in/part=*")
+        intake(stream, f"{folder}/table", f"{folder}/state", seq="doc_id").awaitTermination()
     return spark.read.parquet(f"{folder}/table").select("doc_id", F.col("batch_id").cast("long").alias("batch_id"))
