@@ -89,6 +89,8 @@ def candidate_pool(features: DataFrame, editions: DataFrame, history: DataFrame,
     level 4 beyond the window. `pairs` are event pairs found before, of all headlines the history can hold.
     """
     past = keyed_history(history)
+    if events and pairs is None:  # the pairs read both tables once more, and their texts are cleaned and hashed only once
+        features, past = stored(features, "features"), stored(past, "history")
     known = features.join(first_published(past, ["fingerprint"], "print_since"), ["feed_id", "fingerprint"], "left")
     known = known.join(first_published(past, ["url_key"], "url_since"), ["feed_id", "url_key"], "left")
     if events:
@@ -424,15 +426,15 @@ def _without_known_duplicates(pool: DataFrame, sure: DataFrame) -> DataFrame:
 
 
 def _picks(pool: DataFrame, picker, keep: int) -> tuple[DataFrame, DataFrame]:
-    """The whole pool as written, and the chosen rows of all editions; editions stopped by a cut class run again on a thinner
-    pool."""
+    """The whole pool, and the chosen rows of all editions; editions stopped by a cut class run again on a thinner pool. `pool`
+    is read more than once, so it comes as a written table."""
     if keep <= fv.RULES["maximum"]:
         raise ValueError("the shortlist must hold more rows per class than an edition has places")
     pool = pool.withColumn("major", F.col("importance") >= fv.RULES["major_score"]).withColumn(
         "importance_class", F.floor(F.col("importance") / 10).cast("int"))
     # Counted once: rows that leave the pool between rounds still make the day a major one.
-    majors = pool.groupBy(*EDITION).agg(F.count_if(F.col("major") & (F.col("level") <= 2)).alias("majors"))
-    pool = whole = stored(pool.join(majors, EDITION), "pool")
+    majors = stored(pool.groupBy(*EDITION).agg(F.count_if(F.col("major") & (F.col("level") <= 2)).alias("majors")), "majors")
+    pool = whole = pool.join(broadcast_if_small(majors), EDITION)
     done: DataFrame | None = None
     while True:
         result = stored(shortlist(pool, keep).groupBy(*EDITION).applyInPandas(picker, PICK_SCHEMA), "picks")
@@ -452,7 +454,8 @@ def _pick_editions(pool: DataFrame, picker, keep: int, rules: dict, limit: int |
 
 def select_edition(pool: DataFrame, rules: dict = fv.RULES, limit: int | None = None, keep: int = SHORTLIST) -> DataFrame:
     """The decision on every row of `pool` (rows without a gate): its place in the edition, or why it has none."""
-    return _pick_editions(pool.withColumn("layer", F.lit("single")), _greedy(rules, limit, keep), keep, rules, limit, layered=False)
+    pool = stored(pool.withColumn("layer", F.lit("single")), "pool")
+    return _pick_editions(pool, _greedy(rules, limit, keep), keep, rules, limit, layered=False)
 
 
 def supply_layer(published_at: Column, tier: Column, deep: Column, now: Column, reserve: dict[str, Column]) -> Column:
@@ -475,6 +478,7 @@ def select_layered(pool: DataFrame, rules: dict = fv.RULES, limit: int | None =
 
     `pool` also holds `layer`, and per language `key_cn`, `versions_cn`, `key_en`, `versions_en`.
     """
+    pool = stored(pool, "pool")  # rows inside and outside the layers are taken from one table
     placed = pool.filter(F.col("layer").isNotNull())
     out = _pick_editions(placed, _layered(rules, limit, keep), keep, rules, limit, layered=True)
     outside = pool.filter(F.col("layer").isNull()).select(
@@ -609,7 +613,7 @@ def replay_editions(features: DataFrame, history: DataFrame, dates: list, folder
             near = features.filter(F.col("published_date").between(
                 F.date_sub(F.lit(day).cast("date"), -(-fv.WINDOW_HOURS // 24) + 1), F.date_add(F.lit(day).cast("date"), 1)))
             pool = candidate_pool(near, editions, past, events=events, pairs=pairs).filter("gate is null").withColumn("layer", F.lit("single"))
-            _, picked = _picks(pool, _greedy(rules, None, keep), keep)
+            _, picked = _picks(stored(pool, "pool"), _greedy(rules, None, keep), keep)
             picked.filter("pick is not null").select("feed_id", "id", "pick").write.mode("overwrite").parquet(f"{days_path}/day={day}")
         done.append(day)
     if not done:
