@@ -38,14 +38,15 @@ def _saved_audits(spark, sf):
     run, article = F.floor(F.col("article_id") / 1000), F.col("article_id") % 1000
     dec = v.decisions(spark, sf).select(run.cast("string").alias("run_id"), article.cast("string").alias("article_id"), "seq", "stage", "status", "reason")
     event = F.struct("seq", F.struct("stage", "status", "reason").alias("e"))
-    rows = dec.groupBy("run_id", "article_id").agg(F.transform(F.sort_array(F.collect_list(event)), lambda x: x["e"]).alias("events"))
+    # Dealt by run once, which serves both groupings and the writing; a run stays in one task, and so in one file.
+    rows = dec.repartition("run_id").groupBy("run_id", "article_id").agg(F.transform(F.sort_array(F.collect_list(event)), lambda x: x["e"]).alias("events"))
     runs = rows.groupBy("run_id").agg(F.sort_array(F.collect_list(F.struct("article_id", F.concat(F.lit("http://example.com/"), "article_id").alias("original_url"), "events"))).alias("articles"))
     n = F.col("run_id").cast("int")
     date = F.when(n % 11 == 5, "some day").otherwise(F.concat(F.lit("2024-02-"), F.lpad((1 + n % 28).cast("string"), 2, "0")))
     body = F.to_json(F.struct("run_id", date.alias("date"), F.concat(date, F.lit("T00:00:00")).alias("end_time"), "articles"))
     body = F.when(n % 7 == 3, F.substr(body, F.lit(1), F.length(body) - 40)).otherwise(body)
     folder = new_folder(spark, "saved-audits")
-    runs.select(F.col("run_id").alias("run"), body.alias("body")).repartition("run").write.partitionBy("run").text(folder)
+    runs.select(F.col("run_id").alias("run"), body.alias("body")).write.partitionBy("run").text(folder)
     return folder
 
 
@@ -58,7 +59,7 @@ def saved_audits(spark, sf):
     """Stage states of every article of every run, read back from the saved audits."""
     from broadsheet import fixed_values as fv
 
-    return sa.article_rows(sa.read_run_audits(spark, _saved_audits(spark, sf))).select("run_id", "article_id", *fv.VIEW_STAGES)
+    return sa.article_rows(sa.valid_audits(spark, _saved_audits(spark, sf))).select("run_id", "article_id", *fv.VIEW_STAGES)
 
 
 @query("quarantined_audits", SAVED_SQL + " SELECT DISTINCT run_id, CASE WHEN run % 7 = 3 THEN 'unreadable' ELSE 'no_date' END AS fault FROM saved WHERE run % 7 = 3 OR run % 11 = 5")

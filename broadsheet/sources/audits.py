@@ -30,12 +30,15 @@ def quarantined_audits(spark: SparkSession, path: str) -> DataFrame:
     return _audit_files(spark, path).filter("fault is not null").select("file", "fault", F.col("_corrupt_record").alias("body"))
 
 
-def read_run_audits(spark: SparkSession, path: str, date: str | None = None) -> DataFrame:
-    """Valid audits (one JSON document per file), newest first; `quarantined_audits` lists the other files."""
+def valid_audits(spark: SparkSession, path: str, date: str | None = None) -> DataFrame:
+    """Valid audits (one JSON document per file) in any order; `quarantined_audits` lists the other files."""
     rows = _audit_files(spark, path).filter("fault is null").drop("_corrupt_record", "file", "fault")
-    if date is not None:
-        rows = rows.filter(F.col("date") == date)
-    return rows.orderBy(F.coalesce("end_time", F.lit("")).desc(), F.desc("run_id"))
+    return rows if date is None else rows.filter(F.col("date") == date)
+
+
+def read_run_audits(spark: SparkSession, path: str, date: str | None = None) -> DataFrame:
+    """`valid_audits`, newest first: sorting reads all files once more and moves every audit whole."""
+    return valid_audits(spark, path, date).orderBy(F.coalesce("end_time", F.lit("")).desc(), F.desc("run_id"))
 
 
 def available_dates(audits: DataFrame, snapshot_dates: DataFrame | None = None) -> DataFrame:
