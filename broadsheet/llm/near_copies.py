@@ -1,14 +1,16 @@
-"""Groups of near copies by verified similarity, with candidates that no pair alike enough can escape.
+"""Groups of near copies by SimHash and verified similarity, with an exact way for the pairs that fingerprints miss.
 
-Two texts are near copies if their sets of five-word shingles are alike in 0.8 or more (Jaccard). Candidates come from a
-prefix filter: all shingles have one order, and two sets of that similarity share one of the first n - ceil(0.8 n) + 1
+Two texts are near copies if their sets of five-word shingles are alike in 0.8 or more (Jaccard). First come the pairs of
+SimHash: fingerprints of the sets within RADIUS bits, found with the BK-trees of `simhash`. Texts alike in just 0.8 often lie
+further apart (about 10 bits), so a prefix filter follows, which no pair alike enough can escape: all shingles have one order, and two sets of that similarity share one of the first n - ceil(0.8 n) + 1
 shingles of each (n is the set's size). Shingles that are frequent in a sample of the texts come last in the order, which
 keeps lists of holders short; any order is exact. A candidate pair is dropped only where a bound proves it unlike: sets
-too different in size, or more differing bits between the sets' parity maps than shingles may differ. All others are
-verified on the whole texts, and verified pairs are joined to groups.
+too different in size, or more differing bits between the sets' parity maps than shingles may differ. A parity map fills up
+with the set's size, so pairs of large sets are also bounded by how many shingles fall into each of many bins, before a text
+travels. All others are verified on the whole texts, and verified pairs are joined to groups.
 
-The members of a large group are not all paired with each other. Exact copies are folded first. Then every text meets the
-nearest of the least holders of its shingles, then each group that still shares a shingle with others meets the nearest few
+The members of a large group are not all paired with each other. Exact copies are folded first. Of one fingerprint, and of
+fingerprints linked in a tree, each meets the least. Then every text meets the nearest of the least holders of its shingles, then each group that still shares a shingle with others meets the nearest few
 of them, and last all pairs that are left between different groups. Holders of a shingle meet inside a task, as matrices of
 their maps; shingles with many holders are dealt into tiles. No pair is verified twice, and a text that many others are
 verified against travels once for each piece of them.
@@ -32,8 +34,11 @@ from broadsheet.session import new_folder, scratch, stored
 
 SHINGLE = 5
 SIMILARITY = 0.8
+RADIUS = 7  # bits in which the fingerprints of a first pair may differ
 NEAREST = 8
 MAP = 16  # longs of a parity map
+LARGE = 1_500  # shingles from which a set fills its map too much to be told from others by it
+PER_BIN = 16  # shingles of a large set in a bin, at most, on average
 SAMPLE = 20_000  # texts in which frequent shingles are sought
 COMMON = 200_000  # frequent shingles that are remembered
 _MAPS = [f"m{k}" for k in range(MAP)]
@@ -56,6 +61,37 @@ def _parity(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd, bitorder="little").view(np.int64)
 
 
+def _bins(s: np.ndarray) -> bytes | None:
+    """Of a large set, how many hashes fall into each of a power of two bins, modulo 256. Two sets differ in at least as many
+    members as their counts do."""
+    if len(s) < LARGE:
+        return None
+    size = 1 << math.ceil(math.log2(len(s) / PER_BIN))
+    return np.bincount((s & np.uint64(size - 1)).astype(np.int64), minlength=size).astype(np.uint8).tobytes()
+
+
+def _apart(a: bytes, b: bytes) -> int:
+    """Members in which two sets of these bins differ at least."""
+    x, y = (np.frombuffer(c, np.uint8) for c in (a, b))
+    size = min(len(x), len(y))
+    # a bin of half as many holds what falls into two of them
+    away = x.reshape(-1, size).sum(axis=0, dtype=np.uint8) - y.reshape(-1, size).sum(axis=0, dtype=np.uint8)
+    return int(np.minimum(away, -away).sum(dtype=np.int64))
+
+
+def _bounded(least: float):
+    """Marks the pairs whose similarity is possible by the bins of both; a pair without them is."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            rows = zip(*(part.column(c).to_pylist() for c in ("low_n", "high_n", "low_bins", "high_bins")))
+            possible = [a is None or b is None or _apart(a, b) <= (n + m) * ((1 - least) / (1 + least)) + 1e-9 for n, m, a, b in rows]
+            yield pa.RecordBatch.from_arrays([part.column("low"), part.column("high"), pa.array(possible, pa.bool_())],
+                                             ["low", "high", "possible"])
+
+    return run
+
+
 def _common(given: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that several texts of a sample hold, sorted, and how many hold them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,7 +120,8 @@ def _prefix(s: np.ndarray, least: float, common: tuple[np.ndarray, np.ndarray])
 
 
 def _prints(shingle: int, least: float, common: tuple[np.ndarray, np.ndarray]):
-    """Of each text the number of distinct shingles, a digest of its words, its first shingles and its parity map."""
+    """Of each text the number of distinct shingles, a digest of its words, its first shingles, its fingerprint, its bins and
+    its parity map."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
@@ -95,8 +132,9 @@ def _prints(shingle: int, least: float, common: tuple[np.ndarray, np.ndarray]):
             columns = [pa.array([len(s) for s in sets], pa.int64()),
                        pa.array([xxhash.xxh3_128_digest(b" ".join(t), SEED) for t in tokens], pa.binary()),
                        pa.array([_prefix(s, least, common).view(np.int64) for s in sets], pa.list_(pa.int64())),
+                       pa.array([simhash.folded(s) for s in sets], pa.int64()), pa.array([_bins(s) for s in sets], pa.binary()),
                        *(pa.array(np.ascontiguousarray(m)) for m in maps.T)]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns], ["node", "id", "n", "digest", "first", *_MAPS])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns], ["node", "id", "n", "digest", "first", "fp", "bins", *_MAPS])
 
     return run
 
@@ -182,7 +220,7 @@ def _verified(shingle: int, least: float):
 
 
 def groups(docs: DataFrame, shingle: int = SHINGLE, least: float = SIMILARITY, nearest: int = NEAREST,
-           id_col: str = "doc_id", text_col: str = "text", piece: int = simhash.PIECE) -> DataFrame:
+           id_col: str = "doc_id", text_col: str = "text", piece: int = simhash.PIECE, radius: int = RADIUS) -> DataFrame:
     """(node, id, comp) of every row: node is a hash of the row's id and text, and rows of one group have one comp.
 
     Null texts and texts without words are copies of each other. Rows that agree in id and text are one node.
@@ -191,10 +229,12 @@ def groups(docs: DataFrame, shingle: int = SHINGLE, least: float = SIMILARITY, n
                         F.col(text_col).alias("text"))
     maps = ", ".join(f"{m} long" for m in _MAPS)
     prints = stored(given.mapInArrow(_prints(shingle, least, _common(given, shingle)),
-                                     f"node long, id long, n long, digest binary, first array<long>, {maps}"), "copy-prints")
+                                     f"node long, id long, n long, digest binary, first array<long>, fp long, bins binary, {maps}"), "copy-prints")
     # exact copies are one text from here on; the text's node is the least of theirs
-    texts = stored(prints.groupBy("digest").agg(F.min("node").alias("node"), *(F.first(c).alias(c) for c in ("n", *_MAPS))), "copy-texts")
+    texts = stored(prints.groupBy("digest").agg(F.min("node").alias("node"), *(F.first(c).alias(c) for c in ("n", "fp", *_MAPS))), "copy-texts")
     labels = stored(texts.select("node", "n", *_MAPS, F.col("node").alias("comp")), "copy-labels")
+    bins = prints.filter("bins is not null").select("node", "bins").join(texts.select("node"), "node", "left_semi")
+    bins = stored(bins.dropDuplicates(["node"]), "copy-bins")
     held = prints.select("node", "first").join(texts.select("node"), "node", "left_semi").dropDuplicates(["node"])
     each = Window.partitionBy("token")
     held = (held.select("node", F.explode("first").alias("token"))
@@ -202,10 +242,21 @@ def groups(docs: DataFrame, shingle: int = SHINGLE, least: float = SIMILARITY, n
     held = stored(held.filter("hub < last").select("token", "node", "hub"), "copy-holders")
     away, possible = _possible(least)
 
+    def prints_near() -> DataFrame:
+        leasts = stored(texts.groupBy("fp").agg(F.min("node").alias("node")), "copy-fingerprints")
+        same = texts.select("fp", F.col("node").alias("high")).join(leasts.select("fp", F.col("node").alias("low")), "fp").select("low", "high")
+        linked = (simhash.links(leasts.select("fp"), radius, piece).distinct()
+                  .join(leasts.select("fp", F.col("node").alias("one")), "fp")
+                  .join(leasts.select(F.col("fp").alias("least"), F.col("node").alias("other")), "least")
+                  .select(F.least("one", "other").alias("low"), F.greatest("one", "other").alias("high")))
+        pairs = same.unionByName(linked).filter("low <> high").distinct().alias("p")
+        return (pairs.join(labels.alias("a"), F.col("p.low") == F.col("a.node")).join(labels.alias("b"), F.col("p.high") == F.col("b.node"))
+                .filter(possible).select("p.low", "p.high"))
+
     def hubs() -> DataFrame:
         pairs = held.filter("node <> hub").select("hub", "node").distinct().alias("p")
         met = (pairs.join(labels.alias("a"), F.col("p.hub") == F.col("a.node")).join(labels.alias("b"), F.col("p.node") == F.col("b.node"))
-               .filter(possible).select("p.hub", "p.node", away.alias("away")))
+               .filter(possible & (F.col("a.comp") != F.col("b.comp"))).select("p.hub", "p.node", away.alias("away")))
         best = met.groupBy("node").agg(F.min(F.struct("away", "hub")).alias("best"))
         return best.select(F.col("best.hub").alias("low"), F.col("node").alias("high"))  # the hub is the least of its holders
 
@@ -235,14 +286,20 @@ def groups(docs: DataFrame, shingle: int = SHINGLE, least: float = SIMILARITY, n
         return across(None).select("low", "high").distinct()
 
     tested: DataFrame | None = None
-    for candidates in (hubs, some, rest):
+    for candidates in (prints_near, hubs, some, rest):
         pairs = candidates()
         if tested is not None:
             pairs = pairs.join(tested, ["low", "high"], "left_anti")
-        pairs = stored(pairs, "copy-pairs")
+        for side in ("low", "high"):
+            pairs = pairs.join(labels.select(F.col("node").alias(side), F.col("n").alias(f"{side}_n")), side)
+            pairs = pairs.join(bins.select(F.col("node").alias(side), F.col("bins").alias(f"{side}_bins")), side, "left")
+        bounded = stored(pairs.mapInArrow(_bounded(least), "low long, high long, possible boolean"), "copy-pairs")
+        pairs = bounded.select("low", "high")
         tested = pairs if tested is None else tested.unionByName(pairs)
+        pairs = bounded.filter("possible").select("low", "high")
         wanted = pairs.select(F.explode(F.array("low", "high")).alias("wanted")).distinct()
-        bodies = stored(given.join(wanted, F.col("node") == F.col("wanted"), "left_semi").groupBy("node").agg(F.first("text").alias("text")), "copy-bodies")
+        # not stored: both joins below read one shuffle of the texts
+        bodies = given.join(wanted, F.col("node") == F.col("wanted"), "left_semi").groupBy("node").agg(F.first("text").alias("text"))
         comps = labels.select("node", "comp")
         sized = pairs.groupBy("low").agg(F.ceil(F.count(F.lit(1)) / piece).cast("int").alias("pieces"))
         dealt = (pairs.join(sized, "low").join(comps.select(F.col("node").alias("low"), F.col("comp").alias("low_comp")), "low")
