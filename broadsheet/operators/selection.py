@@ -9,6 +9,7 @@ edition is run again, so the result equals a run over the whole pool.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections import Counter
 from difflib import SequenceMatcher
 
@@ -24,10 +25,11 @@ from broadsheet.operators import linkage as lk
 from broadsheet.operators import reasons
 from broadsheet.operators.admission import first_reason
 from broadsheet.operators.dedup import first_per_key
-from broadsheet.session import broadcast_if_small, stored
+from broadsheet.session import broadcast_if_small, delete_folder, stored
 
 EDITION = ["feed_id", "report_date"]
 SHORTLIST = 64
+DAYS_AT_ONCE = 31  # editions of a feed that a replay picks in one task
 
 
 def window_join(articles: DataFrame, editions: DataFrame, hours: int = fv.WINDOW_HOURS) -> DataFrame:
@@ -192,8 +194,8 @@ class Stock:
 class Round:
     """Greedy picks over one shortlist; `cut` names its incomplete classes and groups."""
 
-    def __init__(self, rows: list, limits: Limits, rules: dict, cut: set):
-        self.rows, self.limits, self.rules, self.cut = rows, limits, rules, cut
+    def __init__(self, rows: list, limits: Limits, rules: dict, cut: set, duplicate=duplicate_reason):
+        self.rows, self.limits, self.rules, self.cut, self.duplicate = rows, limits, rules, cut, duplicate
         self.picks: list = []
         self.epochs: dict[str, int] = {}  # picks made when a row was deferred
         self.deferred: list = []
@@ -231,7 +233,7 @@ class Round:
             waiting.sort(key=lambda r: self.key(r, exploring), reverse=True)
             picked = None
             for place, row in enumerate(waiting):
-                found = duplicate_reason(row, self.picks)
+                found = self.duplicate(row, self.picks)
                 stock.use(row)
                 if found:
                     pass
@@ -257,7 +259,7 @@ class Round:
             if len(self.picks) >= self.limits.fill_to:
                 break
             stock.use(row)
-            if not duplicate_reason(row, self.picks):
+            if not self.duplicate(row, self.picks):
                 self.take(row)
                 self.filled.add(row.id)
             if stock.short(row) and len(self.picks) < self.limits.fill_to:
@@ -295,8 +297,9 @@ def group_keep(keep: int) -> int:
 
 def _rows(pdf: pd.DataFrame, keep: int) -> tuple[list, set]:
     pdf = pdf.sort_values(["score", "published_at", "id"], ascending=False, kind="stable")
-    pdf = pdf.assign(versions=pdf["versions"].map(tuple), cls=list(pdf[CLASS].itertuples(index=False, name=None)),
-                     grp=list(pdf[GROUP].itertuples(index=False, name=None)))
+    pdf = pdf.assign(cls=list(pdf[CLASS].itertuples(index=False, name=None)), grp=list(pdf[GROUP].itertuples(index=False, name=None)))
+    if "versions" in pdf:
+        pdf = pdf.assign(versions=pdf["versions"].map(tuple))
     if "versions_cn" in pdf:
         pdf = pdf.assign(versions_cn=pdf["versions_cn"].map(tuple), versions_en=pdf["versions_en"].map(tuple))
     rows = list(pdf.itertuples(index=False, name="Row"))
@@ -577,49 +580,172 @@ def edition_diagnostics(pool: DataFrame, decisions: DataFrame, rules: dict = fv.
     return edition.unionByName(counts.filter("dimension <> 'edition'").select(*EDITION, "dimension", "value", "eligible", "selected"), allowMissingColumns=True)
 
 
+def _in_a_row(rules: dict, keep: int, order: list):
+    """Picks the editions of one feed in the order of their days, each without what the picks before it rule out, up to the first
+    for which the shortlists are too short."""
+
+    def pick(pdf: pd.DataFrame, near: pd.DataFrame) -> pd.DataFrame:
+        events = "head" in pdf
+        alike: dict = {}  # headlines that name a kept headline's event
+        for new, kept in zip(near["new_head"], near["kept_head"]):
+            alike.setdefault(kept, {kept}).add(new)
+
+        def duplicate(row, kept) -> bool:
+            return any(o.fingerprint == row.fingerprint or o.url_key == row.url_key or row.head == o.head or row.head in alike.get(o.head, ())
+                       for o in kept)
+
+        days, out, published = dict(list(pdf.groupby("report_date"))), [], []
+        for n, day in enumerate(day for day in order if day in days):
+            past = [r for r in published if r.report_date <= day]
+            prints, links = {r.fingerprint for r in past} - {None}, {r.url_key for r in past} - {None}
+            heads = set().union(*({r.head} | alike.get(r.head, set()) for r in past)) if events else set()
+            rows, cut = _rows(days[day], keep)
+            open_ = [r for r in rows if not (r.fingerprint in prints or r.url_key in links or events and r.head in heads)]
+            recent = [sum(r.major and r.level <= 2 for r in some) for some in (rows, open_)]
+            most = rows[0].majors - (recent[0] - recent[1])  # what the shortlist left out may be ruled out too
+            held, left = (Counter(key for r in some for key in (r.cls, r.grp)) for some in (rows, open_))
+            run, complete = Round(open_, Limits(min(rules["maximum"], rules["maximum"] if most >= 10 else rules["target"]), rules), rules, cut,
+                                  duplicate if events else duplicate_reason), False
+            if not any(key in cut and not left[key] for key in held) and (n == 0 or most < 10 or recent[1] >= 10):
+                try:
+                    run.run()
+                    complete = True
+                except Cut:
+                    pass
+            out.append(_result(days[day], run.chosen(), set(), complete))
+            if not complete:
+                break
+            published += run.picks
+        return pd.concat(out) if out else _result(pdf, [], set(), True)
+
+    return pick
+
+
+def _without_published(pool: DataFrame, picked: DataFrame, pairs: DataFrame | None) -> DataFrame:
+    """Drops what picks of the same day or before rule out; `picked` holds their keys."""
+    def older(known: DataFrame, key: str) -> DataFrame:
+        return pool.join(known, ["feed_id", key], "left").filter(F.coalesce(F.col("since") > F.col("report_date"), F.lit(True))).drop("since")
+
+    for key in ("fingerprint", "url_key"):
+        pool = older(first_published(picked, [key], "since"), key)
+    if pairs is None:
+        return pool
+    first = first_published(picked, ["head"], "since").withColumnRenamed("head", "kept_head")
+    return older(pairs.join(first, ["feed_id", "kept_head"]).groupBy("feed_id", F.col("new_head").alias("head")).agg(F.min("since").alias("since")), "head")
+
+
+def _pick_in_a_row(pool: DataFrame, pairs: DataFrame | None, order: list, rules: dict, keep: int) -> DataFrame:
+    """The chosen rows of all editions of `pool`, whose days follow each other in `order`: each day's picks are history for the
+    next. A feed whose shortlists ran short goes on from that day, after the duplicates of all picks so far left its pool.
+    `pairs` are event pairs by digests of the headlines (feed_id, new_head, kept_head)."""
+    if keep <= fv.RULES["maximum"]:
+        raise ValueError("the shortlist must hold more rows per class than an edition has places")
+    order = [dt.date.fromisoformat(str(day)[:10]) for day in order]
+    place = F.array_position(F.array(*[F.lit(day).cast("date") for day in order]), F.col("report_date"))
+    keys = ["head"] if pairs is not None else ["title_key", "versions"]
+    done, sure = None, None
+    while True:
+        # Duplicates of an edition's own picks leave its pool between rounds, and still make its day a major one.
+        majors = pool.groupBy(*EDITION).agg(F.count_if(F.col("major") & (F.col("level") <= 2)).alias("majors"))
+        rows = pool if sure is None else _without_known_duplicates(pool, sure)
+        rows = rows.join(broadcast_if_small(stored(majors, "majors")), EDITION).select(
+            *EDITION, "id", *CLASS, "score", "published_at", "fingerprint", "url_key", *keys, "majors")
+        rows = stored(shortlist(rows, keep), "shortlist")
+        if pairs is None:
+            near = rows.limit(0).select("feed_id", F.lit("").alias("new_head"), F.lit("").alias("kept_head"))
+        else:
+            heads = rows.select("feed_id", "head").distinct()
+            near = pairs.filter("new_head <> kept_head")
+            for side in ("new_head", "kept_head"):
+                near = near.join(heads.withColumnRenamed("head", side), ["feed_id", side], "left_semi")
+        picks = rows.groupBy("feed_id").cogroup(near.groupBy("feed_id")).applyInPandas(_in_a_row(rules, keep, order), PICK_SCHEMA)
+        result = stored(picks, "picks")
+        chosen = result.filter("state = 'chosen'")
+        done = chosen if done is None else done.unionByName(chosen)
+        cut = result.filter("state = 'cut'").select("feed_id", place.alias("from"))
+        if cut.isEmpty():
+            return done
+        sure = result.filter("state = 'sure'").select(*EDITION, "id")
+        published = chosen.select(*EDITION, "id").join(pool.select(*EDITION, "id", "fingerprint", "url_key", *keys), [*EDITION, "id"])
+        pool = pool.join(cut, "feed_id").filter(place >= F.col("from")).drop("from")
+        pool = stored(_without_published(pool, published, pairs), "pool")
+
+
 def replay_editions(features: DataFrame, history: DataFrame, dates: list, folder: str, rules: dict = fv.RULES, events: bool = True,
                     keep: int = SHORTLIST) -> DataFrame:
     """Day after day, each day's picks become history for the next; every step covers all feeds. Returns feed_id, report_date,
     id and pick of all days.
 
-    The picks are a table under `folder`, one partition a day, written once; a day reads those before it. A day that was
-    written is not run again, so a replay that was broken off goes on where it stopped. Event pairs among all headlines that can
-    become history are found once, before the first day, and each day only looks up which of them are published by then.
+    The picks are a table under `folder`, one partition a day, written once. Up to `DAYS_AT_ONCE` days have one pool, from which
+    each feed's editions are picked in a row; then they are written. A day that was written is not run again, so a replay that was
+    broken off goes on where it stopped. Event pairs among all headlines that can become history are found once, before the first
+    day, and each day only looks up which of them are published by then.
     """
     spark = features.sparkSession
     cols = ["feed_id", "report_date", "fingerprint", "url_key", "title_key", "versions"]
     before = stored(keyed_history(history).select(*cols), "history")
     keys = features.select("feed_id", "id", "fingerprint", "url_key", "title_key", "versions")
     feeds = stored(features.select("feed_id").distinct(), "feeds")
-    pairs = None
-    if events:
-        # Only what passes every gate can be picked and become history.
-        can_be_picked = comparable(features).filter(~(F.col("cached") & (F.coalesce("importance", F.lit(0)) < 60)))
-        heads = can_be_picked.select("feed_id", "title_key", "versions").unionByName(before.select("feed_id", "title_key", "versions"))
-        pairs = stored(lk.event_pairs(comparable(features), heads, ["feed_id"]), "pairs")
     days_path = f"{folder.rstrip('/')}/days"
     schema = "feed_id int, id string, pick int, day date"
 
+    def head(key: str, versions: str) -> Column:
+        return F.md5(F.concat_ws("\n", F.col(key), F.col(versions)))
+
+    def read(days: list) -> DataFrame:  # only the folders of days that count are listed
+        return spark.read.schema(schema).option("basePath", days_path).parquet(*[f"{days_path}/day={d}" for d in days])
+
+    pairs = by_head = None
     done: list = []
+
+    def run(days: list) -> None:
+        nonlocal pairs, by_head
+        if events and pairs is None:
+            # Only what passes every gate can be picked and become history.
+            can_be_picked = comparable(features).filter(~(F.col("cached") & (F.coalesce("importance", F.lit(0)) < 60)))
+            heads = can_be_picked.select("feed_id", "title_key", "versions").unionByName(before.select("feed_id", "title_key", "versions"))
+            pairs = stored(lk.event_pairs(comparable(features), heads, ["feed_id"]), "pairs")
+            by_head = pairs.select("feed_id", head("new_key", "new_versions").alias("new_head"), head("kept_key", "kept_versions").alias("kept_head"))
+        past = before
+        if done:
+            past = past.unionByName(read(done).join(keys, ["feed_id", "id"]).withColumnRenamed("day", "report_date").select(*cols))
+        open_days = F.explode(F.array(*[F.lit(day).cast("date") for day in days])).alias("report_date")
+        editions = feeds.select("feed_id", open_days).withColumn("now_ts", F.col("report_date").cast("timestamp"))
+        # Nothing published outside the days' windows reaches their pools, so it is left out before the joins.
+        near = features.filter(F.col("published_date").between(
+            F.date_sub(F.lit(min(days)).cast("date"), -(-fv.WINDOW_HOURS // 24) + 1), F.date_add(F.lit(max(days)).cast("date"), 1)))
+        pool = candidate_pool(near, editions, past, events=events, pairs=pairs).filter("gate is null").withColumns({
+            "layer": F.lit("single"), "major": F.col("importance") >= fv.RULES["major_score"],
+            "importance_class": F.floor(F.col("importance") / 10).cast("int"), "head": head("title_key", "versions")})
+        pool = stored(pool.select(*EDITION, "id", *CLASS, "score", "published_at", "fingerprint", "url_key", "title_key", "versions", "head"), "pool")
+        picked = _pick_in_a_row(pool, by_head, days, rules, keep).filter("pick is not null")
+        for day in days:  # what a broken-off replay left of them
+            delete_folder(spark, f"{days_path}/day={day}")
+        picked.select("feed_id", "id", "pick", F.col("report_date").alias("day")).repartition("day").write.mode("append").partitionBy("day").parquet(days_path)
+        for day in days:
+            _mark(spark, f"{days_path}/day={day}/_SUCCESS")
+        done.extend(days)
+
+    waiting: list = []
     for day in dates:
-        if not _exists(spark, f"{days_path}/day={day}/_SUCCESS"):
-            past = before
-            if done:  # only the folders of days that count are listed
-                picks = spark.read.schema(schema).option("basePath", days_path).parquet(*[f"{days_path}/day={d}" for d in done])
-                past = past.unionByName(picks.join(keys, ["feed_id", "id"]).withColumnRenamed("day", "report_date").select(*cols))
-            editions = feeds.select("feed_id", F.lit(day).cast("date").alias("report_date")).withColumn(
-                "now_ts", F.col("report_date").cast("timestamp"))
-            # Nothing published outside the day's window reaches its pool, so it is left out before the joins.
-            near = features.filter(F.col("published_date").between(
-                F.date_sub(F.lit(day).cast("date"), -(-fv.WINDOW_HOURS // 24) + 1), F.date_add(F.lit(day).cast("date"), 1)))
-            pool = candidate_pool(near, editions, past, events=events, pairs=pairs).filter("gate is null").withColumn("layer", F.lit("single"))
-            _, picked = _picks(stored(pool, "pool"), _greedy(rules, None, keep), keep)
-            picked.filter("pick is not null").select("feed_id", "id", "pick").write.mode("overwrite").parquet(f"{days_path}/day={day}")
-        done.append(day)
+        written = day in waiting or _exists(spark, f"{days_path}/day={day}/_SUCCESS")
+        if waiting and (written or len(waiting) == DAYS_AT_ONCE):
+            run(waiting)
+            waiting = []
+        if written:
+            done.append(day)
+        else:
+            waiting.append(day)
+    if waiting:
+        run(waiting)
     if not done:
         return spark.createDataFrame([], "feed_id int, report_date date, id string, pick int")
-    out = spark.read.schema(schema).option("basePath", days_path).parquet(*[f"{days_path}/day={d}" for d in done])
-    return out.select("feed_id", F.col("day").alias("report_date"), "id", "pick")
+    return read(done).select("feed_id", F.col("day").alias("report_date"), "id", "pick")
+
+
+def _mark(spark, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True).close()
 
 
 def _exists(spark, path: str) -> bool:
